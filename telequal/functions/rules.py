@@ -8,6 +8,8 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from telequal.functions.numbers import steady_round
+
 # Band limits, rule weights, limits and texts.
 RISK_STEP = 0.20
 SEVERITY_STEP = 0.15
@@ -76,15 +78,15 @@ def device_status(score: Column) -> Column:
 
 
 def severity_score(count: Column, cap: int = SEVERITY_CAP) -> Column:
-    return F.round(F.least(count, F.lit(cap)) / F.lit(cap), 4)
+    return steady_round(F.least(count, F.lit(cap)) / F.lit(cap), 4)
 
 
 def charge_per_tenure(charges: Column, tenure: Column) -> Column:
-    return F.round(charges / F.greatest(tenure, F.lit(1)), 4)
+    return steady_round(charges / F.greatest(tenure, F.lit(1)), 4)
 
 
 def power_delta(us: Column, ds: Column) -> Column:
-    return F.round(us - (ds + F.lit(38.0)), 3)
+    return steady_round(us - (ds + F.lit(38.0)), 3)
 
 
 def _test(col: str, op: str, operand) -> Column:
@@ -111,7 +113,7 @@ def _bounded(x: Column, limits: tuple[float, float]) -> Column:
 
 def label_risk_score() -> Column:
     """Score behind the churn label, from customer and network columns."""
-    return F.round(
+    return steady_round(
         _weighted(LABEL_WEIGHTS)
         + F.col("anomaly_severity_score") * LABEL_SEVERITY_WEIGHT
         + F.least(F.col("wifi_breach_count_30d") / LABEL_BREACH_DIVISOR, F.lit(LABEL_BREACH_CAP)),

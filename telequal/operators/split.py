@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from telequal.functions.numbers import steady_round
 from telequal.operators.ordered import order_statistics
 from telequal.schemas import TEST_SIZE, TRAIN_SHARE, VALIDATION_SIZE
 
@@ -105,8 +106,8 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
         n.alias("n"),
         pos.alias("n_pos"),
         (n - pos).alias("n_neg"),
-        F.round(F.when(n > 0, pos / n), 4).alias("pos_rate"),
-        F.round(F.when(pos > 0, (n - pos) / pos), 4).alias("pos_weight"),
+        steady_round(F.when(n > 0, pos / n), 4).alias("pos_rate"),
+        steady_round(F.when(pos > 0, (n - pos) / pos), 4).alias("pos_weight"),
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telequal.functions import rules
+from telequal.functions.numbers import steady_round
 from telequal.operators import signals, stats
 from telequal.plans import views
 from telequal.plans.registry import query, r, sql
@@ -160,7 +161,7 @@ _BAND = "CASE WHEN prob >= 0.3::DOUBLE + 0.2::DOUBLE THEN 'High' WHEN prob >= 0.
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    c = views.customers(spark, folder).withColumn("prob", F.round(rules.fallback_risk_score(), 4))
+    c = views.customers(spark, folder).withColumn("prob", steady_round(rules.fallback_risk_score(), 4))
     return c.withColumn("risk", rules.risk_band(F.col("prob"), 0.3))
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from telequal.operators import dedup, encode, features, impute, outliers, quality, split, stats
 from telequal.operators.panel import forward_fill, measure
-from telequal.operators.ordered import fitted_row
 from telequal.plans import views
 from telequal.plans.registry import query, r, sql
 from telequal.session import scratch_path
@@ -103,9 +102,9 @@ def records_json(spark: SparkSession, folder: str) -> DataFrame:
 def metrics_flatten(spark: SparkSession, folder: str) -> DataFrame:
     """Two metric layouts (top level and nested) are written as JSON and read as one flat table."""
     m = views.tele(spark, folder).groupBy("kind").agg(
-        F.round(F.avg("aux") / 100, 4).alias("t"),
-        F.round(F.avg("flag"), 4).alias("p"),
-        F.round(F.avg(F.when(F.col("signal") > 50, 1).otherwise(0)), 4).alias("q"),
+        r(F.avg("aux") / 100, 4, "t"),
+        r(F.avg("flag"), 4, "p"),
+        r(F.avg(F.when(F.col("signal") > 50, 1).otherwise(0)), 4, "q"),
     )
     name = F.concat(F.lit("kind-"), "kind").alias("name")
     flat = F.struct(name, F.col("t").alias("threshold"), F.col("p").alias("precision"), F.col("q").alias("recall"))
@@ -566,6 +565,6 @@ def breach_rate_by_entity(spark: SparkSession, folder: str) -> DataFrame:
     rates = judged.groupBy("entity").agg(
         F.count(F.lit(1)).alias("n_readings"),
         F.sum("breach").cast("bigint").alias("n_breaches"),
-        F.round(F.avg("breach"), 6).alias("breach_rate"),
+        r(F.avg("breach"), 6, "breach_rate"),
     )
     return stats.topk(rates, "breach_rate", 20, "entity")

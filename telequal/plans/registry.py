@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telequal.functions.numbers import steady_round
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
@@ -16,7 +18,7 @@ def query(name: str, check: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
         if check is not None:
-            CHECKS[name] = check
+            CHECKS[name] = steady_rounding(check)
         return fn
 
     return register
@@ -25,7 +27,24 @@ def query(name: str, check: str | None = None) -> Callable[[Query], Query]:
 def r(col: str | Column, digits: int = 4, name: str | None = None) -> Column:
     """Rounded column under its own name, so that sums in another order still compare equal."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c, digits).alias(name or col)
+    return steady_round(c, digits).alias(name or col)
+
+
+def steady_rounding(text: str) -> str:
+    """Round a 9-digit decimal in every ``round(x, n)`` of the checking SQL, as :func:`steady_round` does."""
+    start = text.find("round(")
+    if start < 0:
+        return text
+    depth, comma, end = 1, -1, start + len("round(")
+    while depth:
+        ch = text[end]
+        depth += (ch == "(") - (ch == ")")
+        if ch == "," and depth == 1:
+            comma = end
+        end += 1
+    value, digits = text[start + len("round(") : comma], text[comma + 1 : end - 1]
+    inner = f"CAST(ROUND(CAST({steady_rounding(value)} AS DECIMAL(38, 9)), {digits.strip()}) AS DOUBLE)"
+    return text[:start] + inner + steady_rounding(text[end:])
 
 
 # Shared views of the checking SQL; later ones may use earlier ones.

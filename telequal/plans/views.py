@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telequal.functions.calendar import days_between
+from telequal.functions.numbers import steady_round
 from telequal.functions.rules import charge_per_tenure, label_risk_score, severity_score
 from telequal.operators.signals import enrich_left_default, last_event, recency_days, trailing_event_count
 from telequal.operators.stats import percentile_label
+from telequal.session import durable
 from telequal.sources.tables import table
 
 # Fixed values shared with the checking SQL.
@@ -120,7 +122,7 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
                 "internet_service_type"
             ),
             F.floor(F.coalesce(days_between(horizon, F.col("first_order")), F.lit(0)) / 30).alias("tenure_months"),
-            F.round(F.coalesce(F.col("mean_order"), F.lit(0.0)) / 4000, 2).alias("monthly_charges"),
+            steady_round(F.coalesce(F.col("mean_order"), F.lit(0.0)) / 4000, 2).alias("monthly_charges"),
             (nation % 2).alias("tech_support_flag"),
             F.when(F.col("c_acctbal") > 0, 1).otherwise(0).alias("paperless_billing_flag"),
             F.coalesce("calls", F.lit(0).cast("bigint")).alias("service_call_frequency_30d"),
@@ -139,7 +141,8 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def crm(spark: SparkSession, folder: str) -> DataFrame:
     """Customers with the rule score and the label it implies (top 26 percent)."""
-    scored = customers(spark, folder).withColumn("risk_score", label_risk_score())
+    # One row per customer, read several times by the percentile and its users: written once.
+    scored = durable(customers(spark, folder).withColumn("risk_score", label_risk_score()))
     return percentile_label(scored, "risk_score", 0.74, "churn")
 
 
