@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telequal.operators.evaluate import roc_auc
-from telequal.operators.ordered import running_totals
+from telequal.operators.ordered import fitted_row, number, running_totals
 from telequal.operators.split import hashed
 from telequal.operators.stats import fit_minmax, minmax_norm
 from telequal.schemas import IF_SAMPLE, IF_TREES, IF_WEIGHT, LOF_WEIGHT
@@ -49,6 +49,8 @@ def _tree_sample(
         .select("*", turn)
         .withColumn("tree", (F.col("_turn") * groups + F.pmod(place, F.lit(groups))).cast("int"))
         .where(F.col("tree") < trees)
+        # At most DRAW_MARGIN * trees * sample rows; the trees grow in parallel.
+        .repartition(min(trees, df.sparkSession.sparkContext.defaultParallelism), "tree")
     )
     ranked = drawn.withColumn("_h", F.xxhash64(F.lit(seed + 2), "tree", *keys))
     w = Window.partitionBy("tree").orderBy("_h", *keys)
@@ -110,33 +112,28 @@ def isolation_score(
     rows = model.orderBy("tree", "node").toPandas()
     starts = rows.index[rows["node"] == 0].to_numpy()
     base = np.repeat(starts, np.diff([*starts, len(rows)]))
+    leaf = rows["feature"].to_numpy() < 0
     nodes = {
-        "feature": rows["feature"].to_numpy(np.int64),
-        "threshold": rows["threshold"].to_numpy(),
-        "left": rows["left"].to_numpy(np.int64) + base,
-        "right": rows["right"].to_numpy(np.int64) + base,
+        # A leaf leads back to itself, so all rows walk the same number of steps.
+        "feature": np.where(leaf, 0, rows["feature"]).astype(np.int64),
+        "threshold": np.where(leaf, np.inf, rows["threshold"]),
+        "next": np.column_stack([rows["right"] + base, rows["left"] + base]).astype(np.int64).ravel(),
         "path": rows["path"].to_numpy(),
         "roots": starts,
     }
     shared = df.sparkSession.sparkContext.broadcast(nodes)
-    norm = path_constant(sample)
+    norm, depth, width = path_constant(sample), int(np.ceil(np.log2(max(sample, 2)))), len(features)
 
     @F.pandas_udf("double")
     def score(*cols: pd.Series) -> pd.Series:
         m = shared.value
-        x = np.column_stack([c.fillna(0.0).to_numpy(np.float64) for c in cols])
-        total = np.zeros(len(x))
-        every = np.arange(len(x))
+        x = np.column_stack([c.fillna(0.0).to_numpy(np.float64) for c in cols]).ravel()
+        row = np.arange(len(cols[0])) * width
+        total = np.zeros(len(row))
         for root in m["roots"]:
-            at, rows = np.full(len(x), root), every
-            while len(rows):
-                here = at[rows]
-                f = m["feature"][here]
-                rows = rows[f >= 0]
-                if not len(rows):
-                    break
-                here, f = at[rows], f[f >= 0]
-                at[rows] = np.where(x[rows, f] <= m["threshold"][here], m["left"][here], m["right"][here])
+            at = np.full(len(row), root)
+            for _ in range(depth):
+                at = m["next"][2 * at + (x[row + m["feature"][at]] <= m["threshold"][at])]
             total += m["path"][at]
         return pd.Series(np.power(2.0, -(total / len(m["roots"])) / norm))
 
@@ -202,7 +199,7 @@ def permutation_importance(
     rows = df.withColumn("shuffled", F.lit("")).unionByName(permuted(df, features, keys, seed))
     scored = durable(scorer(rows).select("shuffled", label, score))
     aucs = durable(roc_auc(scored, label, score, ["shuffled"]))
-    base = aucs.where("shuffled = ''").select("auc").scalar()
+    base = number(fitted_row(aucs.where("shuffled = ''"))["auc"])
     return aucs.where("shuffled <> ''").select(
         F.col("shuffled").alias("feature"), "auc", (base - F.col("auc")).alias("drop")
     )

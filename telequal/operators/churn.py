@@ -26,6 +26,7 @@ from telequal.operators.evaluate import (
     pr_curve,
     roc_auc,
 )
+from telequal.operators.ordered import fitted_row, number
 from telequal.operators.split import hashed, oversample, uniform_sample
 from telequal.operators.stats import fit_standardizer, standardize
 from telequal.schemas import (
@@ -87,7 +88,7 @@ def fit_churn(train: DataFrame, kind: str = "mlp", max_iter: int = 100, seed: in
         )
     else:
         n_pos = F.greatest(F.count_if(F.col("label") == 1), F.lit(1))
-        weight = rows.agg(F.count_if(F.col("label") != 1) / n_pos).scalar()
+        weight = rows.agg(F.count_if(F.col("label") != 1) / n_pos).first()[0]
         rows = rows.withColumn("weight", F.when(F.col("label") == 1, weight).otherwise(F.lit(1.0)))
         learner = LogisticRegression(weightCol="weight", maxIter=max_iter)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # every iteration reads all rows
@@ -177,10 +178,10 @@ def linear_attribution(
 
     ``weights`` is one row with a column per feature; attributions sum to score minus mean score.
     """
-    w = weights.select(F.struct(*features)).scalar()
+    w = fitted_row(weights)
     z = standardize(df, fitted, features)
     items = [
-        F.struct(F.lit(f).alias("feature"), (F.col(f) * w[f]).alias("attribution")) for f in features
+        F.struct(F.lit(f).alias("feature"), (F.col(f) * number(w[f])).alias("attribution")) for f in features
     ]
     return z.select(key, F.inline(F.array(*items)))
 

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telequal.operators.ordered import exact_quantiles, fitted_row, per_column_struct
+from telequal.operators.ordered import exact_quantiles, fitted_row, number, per_column_struct
 from telequal.operators.panel import Layout, forward_fill
+from telequal.session import durable
 
 
 def constant_fill(df: DataFrame, values: dict[str, float | int | str]) -> DataFrame:
@@ -22,7 +23,7 @@ def medians(df: DataFrame, cols: Sequence[str], group: str | None = None) -> Dat
 
 def median_fill(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     fitted = fitted_row(per_column_struct(medians(fit_on if fit_on is not None else df, cols), cols, ["median"]))
-    return df.withColumns({c: F.coalesce(F.col(c), fitted[c]["median"]) for c in cols})
+    return df.withColumns({c: F.coalesce(F.col(c), number(fitted[c]["median"])) for c in cols})
 
 
 def group_median_fill(
@@ -49,7 +50,7 @@ def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def mode_fill(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     fitted = fitted_row(modes(fit_on if fit_on is not None else df, cols))
     return df.withColumns(
-        {c: F.coalesce(F.col(c), fitted[c].cast(df.schema[c].dataType)) for c in cols}
+        {c: F.coalesce(F.col(c), F.lit(fitted[c]).cast(df.schema[c].dataType)) for c in cols}
     )
 
 
@@ -64,6 +65,8 @@ def impute_chain(
     """Forward fill ``carried``; then the (group) median for what is left; then constants."""
     out = forward_fill(df, layout, carried)
     rest = [*carried, *grouped]
+    if rest:
+        out = durable(out)  # the medians read it more than once
     if group:
         out = group_median_fill(out, rest, group)
     elif rest:

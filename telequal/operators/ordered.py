@@ -12,12 +12,14 @@ from functools import reduce
 from operator import or_
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from telequal.session import broadcast_if_small, shuffle_width
 
 BUCKET = "_bucket"
+# Buckets when only a few are read on: the finer, the less is left to shuffle.
+SELECT_BUCKETS = 256
 
 
 def range_splits(df: DataFrame, value: str, n: int | None = None) -> list[float]:
@@ -83,6 +85,7 @@ def order_statistics(
     ``few_keys`` states that ``keys`` take a fixed, small set of values.
     """
     src = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    n = n or max(SELECT_BUCKETS, shuffle_width(df.sparkSession))
     src = with_bucket(src, "_v", range_splits(src, "_v", n))
     every = Window.partitionBy(*keys)
     before = every.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -158,7 +161,7 @@ def approx_quantiles(
 
 
 def per_column_struct(long: DataFrame, cols: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Turn (column, fields...) rows into one row with one struct per column, for ``.scalar()`` use."""
+    """Turn (column, fields...) rows into one row with one struct per column."""
     return long.agg(
         *[
             F.struct(*[F.max(F.when(F.col("column") == c, F.col(f))).alias(f) for f in fields]).alias(c)
@@ -167,6 +170,16 @@ def per_column_struct(long: DataFrame, cols: Sequence[str], fields: Sequence[str
     )
 
 
-def fitted_row(df: DataFrame) -> Column:
-    """A one-row frame of fitted values as a scalar subquery column (one struct)."""
-    return df.select(F.struct(*df.columns).alias("fitted")).scalar()
+def fitted_row(df: DataFrame) -> Row:
+    """Run a fit once and take its single row; its values enter later plans as constants."""
+    return df.first()
+
+
+def instant(micros: float | int | None) -> Column:
+    """A fitted point in time as a timestamp constant, free of any local time zone."""
+    return F.timestamp_micros(F.lit(None if micros is None else int(micros)).cast("bigint"))
+
+
+def number(value: float | int | None) -> Column:
+    """A fitted number as a double constant."""
+    return F.lit(value).cast("double")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telequal.operators.ordered import fitted_row
+from telequal.operators.ordered import fitted_row, number
 
 REPORT_SCHEMA = "step string, column string, metric string, value double"
 
@@ -190,4 +190,4 @@ def clip(c: Column, lo: Column, hi: Column) -> Column:
 def clip_to(df: DataFrame, bounds: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Clip ``cols`` to a one-row frame of ``<col>`` structs with ``lower`` and ``upper``."""
     b = fitted_row(bounds)
-    return df.withColumns({c: clip(F.col(c), b[c]["lower"], b[c]["upper"]) for c in cols})
+    return df.withColumns({c: clip(F.col(c), number(b[c]["lower"]), number(b[c]["upper"])) for c in cols})

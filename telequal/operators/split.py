@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telequal.functions.numbers import steady_round
-from telequal.operators.ordered import order_statistics
+from telequal.operators.ordered import fitted_row, instant, number, order_statistics
 from telequal.schemas import TEST_SIZE, TRAIN_SHARE, VALIDATION_SIZE
 
 MIX_PRIME = 2_147_483_647
@@ -36,7 +36,7 @@ def time_split_boundary(df: DataFrame, ts: str, share: float = TRAIN_SHARE) -> D
 
 def time_split(df: DataFrame, ts: str, share: float = TRAIN_SHARE, out: str = "split") -> DataFrame:
     """'train' strictly before the boundary, 'test' from it on."""
-    edge = time_split_boundary(df, ts, share).select("boundary").scalar()
+    edge = instant(fitted_row(time_split_boundary(df, ts, share).select(F.unix_micros("boundary")))[0])
     return df.withColumn(out, F.when(F.col(ts) < edge, "train").otherwise("test"))
 
 
@@ -95,8 +95,8 @@ def stratified_sample(df: DataFrame, label: str, order: Column, n: int, ratio: i
 def uniform_sample(df: DataFrame, order: Column, n: int) -> DataFrame:
     """``n`` rows (all, if fewer) in shuffling order."""
     src = df.withColumn("_order", order)
-    cut = order_statistics(src, "_order", {"cut": lambda cnt: F.least(F.lit(n), cnt) - 1}).select("cut").scalar()
-    return src.where(F.col("_order") <= cut).drop("_order")
+    cut = fitted_row(order_statistics(src, "_order", {"cut": lambda cnt: F.least(F.lit(n), cnt) - 1}))
+    return src.where(F.col("_order") <= number(cut["cut"] if cut else None)).drop("_order")
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -113,8 +113,8 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 def oversample(df: DataFrame, label: str, copy: str = "copy_no") -> DataFrame:
     """Repeat every positive row round(weight) times in all (at least once); ``copy_no`` starts at 1."""
-    weight = class_balance(df, label).select(F.coalesce("pos_weight", F.lit(1.0))).scalar()
-    times = F.when(F.col(label) == 1, F.greatest(F.lit(1), F.bround(weight).cast("int"))).otherwise(1)
+    weight = fitted_row(class_balance(df, label))["pos_weight"] or 1.0
+    times = F.when(F.col(label) == 1, max(1, round(weight))).otherwise(1)
     return df.withColumn(copy, F.explode(F.sequence(F.lit(1), times)))
 
 

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telequal.operators.ordered import exact_quantiles, fitted_row
+from telequal.operators.ordered import exact_quantiles, fitted_row, number
 
 
 def fit_standardizer(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -23,7 +23,7 @@ def fit_standardizer(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def standardize(df: DataFrame, fitted: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
     s = fitted_row(fitted)
-    return df.withColumns({f"{c}{suffix}": (F.col(c) - s[c]["mean"]) / s[c]["scale"] for c in cols})
+    return df.withColumns({f"{c}{suffix}": (F.col(c) - number(s[c]["mean"])) / number(s[c]["scale"]) for c in cols})
 
 
 def fit_minmax(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -33,7 +33,11 @@ def fit_minmax(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def minmax_norm(df: DataFrame, fitted: DataFrame, cols: Sequence[str], suffix: str = "_norm") -> DataFrame:
     s = fitted_row(fitted)
     return df.withColumns(
-        {f"{c}{suffix}": (F.col(c) - s[c]["lo"]) / (s[c]["hi"] - s[c]["lo"] + F.lit(1e-9)) for c in cols}
+        {
+            f"{c}{suffix}": (F.col(c) - number(s[c]["lo"]))
+            / (number(s[c]["hi"]) - number(s[c]["lo"]) + F.lit(1e-9))
+            for c in cols
+        }
     )
 
 
@@ -58,14 +62,14 @@ def corr_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.85) -> D
 
 def percentile_label(df: DataFrame, score: str, share: float = 0.74, out: str = "label") -> DataFrame:
     """1 for scores above the ``share`` percentile."""
-    cut = exact_quantiles(df, [score], {"cut": share}).select("cut").scalar()
-    return df.withColumn(out, F.when(F.col(score) > cut, 1).otherwise(0))
+    cut = fitted_row(exact_quantiles(df, [score], {"cut": share}))["cut"]
+    return df.withColumn(out, F.when(F.col(score) > number(cut), 1).otherwise(0))
 
 
 def label_histogram(df: DataFrame, col: str, label: str, bins: int = 60) -> DataFrame:
     """(label, bin, n) over equal-width bins of the whole range."""
     s = fitted_row(df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")))
-    step = F.floor((F.col(col) - s["lo"]) / (s["hi"] - s["lo"]) * bins)
+    step = F.floor((F.col(col) - number(s["lo"])) / (number(s["hi"]) - number(s["lo"])) * bins)
     bin_no = F.coalesce(F.least(step, F.lit(bins - 1)), F.lit(0)).cast("int")
     return (
         df.where(F.col(col).isNotNull())
@@ -88,8 +92,8 @@ def load_summary(df: DataFrame, name: str, label: Column) -> DataFrame:
 
 
 def importance_share(df: DataFrame, value: str, out: str = "pct_of_max") -> DataFrame:
-    top = df.agg(F.max(value)).scalar()
-    return df.withColumn(out, F.col(value) / top * 100)
+    top = fitted_row(df.agg(F.max(value).alias("top")))["top"]
+    return df.withColumn(out, F.col(value) / number(top) * 100)
 
 
 def topk(df: DataFrame, value: str, k: int, *ties: str) -> DataFrame:

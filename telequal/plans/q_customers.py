@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from telequal.functions import rules
 from telequal.functions.numbers import steady_round
 from telequal.operators import signals, stats
+from telequal.operators.ordered import instant
 from telequal.plans import views
 from telequal.plans.registry import query, r, sql
 from telequal.sources.tables import table
@@ -66,7 +67,7 @@ def cooccurrence_rate(spark: SparkSession, folder: str) -> DataFrame:
 )
 def trailing_event_count(spark: SparkSession, folder: str) -> DataFrame:
     t = views.tele(spark, folder)
-    cutoff = t.agg((F.max("ts") - F.expr("interval 10 day")).alias("c")).scalar()
+    cutoff = instant(t.agg(F.unix_micros(F.max("ts") - F.expr("interval 10 day"))).first()[0])
     return signals.trailing_event_count(t, "entity", "ts", "flag", cutoff, "anomaly_count")
 
 
@@ -107,7 +108,8 @@ def recency_days(spark: SparkSession, folder: str) -> DataFrame:
             "breach": F.when(F.col("aux") > 97, 1).otherwise(0),
         }
     )
-    until = t.agg((F.date_trunc("day", F.max("ts")) + F.expr("interval 1 day")).alias("u")).scalar()
+    last_day = F.date_trunc("day", F.max("ts"))
+    until = instant(t.agg(F.unix_micros(last_day + F.expr("interval 1 day"))).first()[0])
     return signals.recency_days(
         table(spark, folder, "customer").select("c_custkey"),
         "c_custkey",

@@ -89,7 +89,8 @@ def _li_rows(spark: SparkSession, folder: str) -> DataFrame:
     from telequal.plans.q_quality import DEDUP_ORDER
 
     rows = keep_last(views.li(spark, folder), ["l_orderkey", "l_linenumber"], DEDUP_ORDER)
-    return rows.withColumn("row_id", F.col("l_orderkey") * 100 + F.col("l_linenumber"))
+    rows = rows.withColumn("row_id", F.col("l_orderkey") * 100 + F.col("l_linenumber"))
+    return durable(rows.select("row_id", "ts", "flag", *LI_FEATURES))
 
 
 def _scored_li(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,7 @@ from telequal.operators import dedup, encode, features, impute, outliers, qualit
 from telequal.operators.panel import forward_fill, measure
 from telequal.plans import views
 from telequal.plans.registry import query, r, sql
-from telequal.session import scratch_path
+from telequal.session import durable, scratch_path
 from telequal.sources import sinks, tables
 
 KINDS = ["error", "purchase"]
@@ -559,7 +559,7 @@ def breach_rate_by_entity(spark: SparkSession, folder: str) -> DataFrame:
     layout = panel(raw)
     clean = dedup.keep_last(raw, ["entity", "ts"], ["seq"])
     clean = quality.null_out_of_range(clean, {"signal": (-200, 100)})
-    clean = forward_fill(clean, layout, ["signal"])
+    clean = durable(forward_fill(clean, layout, ["signal"]))
     clean = outliers.iqr_cap(clean, outliers.iqr_bounds(clean, ["signal"], "flag"), ["signal"])
     judged = features.sigma_breach(features.rolling_baseline(clean, layout, "signal"), "signal")
     rates = judged.groupBy("entity").agg(

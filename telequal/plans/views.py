@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from telequal.functions.calendar import days_between
 from telequal.functions.numbers import steady_round
 from telequal.functions.rules import charge_per_tenure, label_risk_score, severity_score
+from telequal.operators.ordered import instant
 from telequal.operators.signals import enrich_left_default, last_event, recency_days, trailing_event_count
 from telequal.operators.stats import percentile_label
 from telequal.session import durable
@@ -66,9 +67,14 @@ LI_SIGNALS = ["quantity", "price", "discount", "tax"]
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """Customer snapshot before the label: CRM columns plus network signals."""
     c, o, t = table(spark, folder, "customer"), table(spark, folder, "orders"), tele(spark, folder)
-    until = t.agg((F.date_trunc("day", F.max("ts")) + F.expr("interval 1 day")).alias("u")).scalar()
-    cutoff = t.agg((F.date_trunc("day", F.max("ts")) - F.expr("interval 14 day")).alias("u")).scalar()
-    horizon = o.agg(F.max("o_orderdate").cast("timestamp")).scalar()
+    last_day = F.date_trunc("day", F.max("ts"))
+    span = t.agg(
+        F.unix_micros(last_day + F.expr("interval 1 day")).alias("until"),
+        F.unix_micros(last_day - F.expr("interval 14 day")).alias("cutoff"),
+        F.countDistinct("entity").alias("n_users"),
+    ).first()
+    until, cutoff = instant(span["until"]), instant(span["cutoff"])
+    horizon = instant(o.agg(F.unix_micros(F.max("o_orderdate").cast("timestamp"))).first()[0])
     placed = F.col("o_orderdate").cast("timestamp")
     latest = F.struct("o_orderdate", "o_orderkey")
     by_customer = o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
@@ -101,11 +107,10 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
         "entity",
         {"wifi_breach_count_30d": 0},
     )
-    n_users = t.agg(F.countDistinct("entity")).scalar()
     nation = F.col("c_nationkey")
     base = (
         c.join(by_customer, "c_custkey", "left")
-        .withColumn("entity", F.pmod(F.col("c_custkey"), n_users))
+        .withColumn("entity", F.pmod(F.col("c_custkey"), F.lit(span["n_users"])))
         .join(network, "entity", "left")
         .select(
             F.col("c_custkey").alias("customer_id"),

@@ -35,14 +35,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder so that several consumers read one copy.
+    """Write ``df`` once to the shared folder and read it back.
 
-    Survives executor loss, unlike a cache of an expensive Python stage.
+    For frames that several fits read: columnar, so a fit on one column reads one column, and safe when
+    executors are lost, unlike a cache of an expensive stage.
     """
-    shared_dir(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
