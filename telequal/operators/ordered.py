@@ -26,7 +26,7 @@ def range_splits(df: DataFrame, value: str, n: int | None = None) -> list[float]
     """Cut points of ``value`` into about ``n`` buckets of equal row count (one sketch job)."""
     n = n or shuffle_width(df.sparkSession)
     probs = [i / n for i in range(1, n)]
-    sketch = F.percentile_approx(F.col(value).cast("double"), probs, max(10_000, 10 * n))
+    sketch = F.percentile_approx(F.col(value).cast("double"), probs, 10 * n)
     cuts = df.select(sketch.alias("cuts")).first().cuts or [0.0]
     return [float("-inf"), *sorted(set(cuts)), float("inf")]
 
