@@ -173,13 +173,10 @@ def df_stationarity(panel: DataFrame, critical: float = DF_CRITICAL_5PCT) -> Dat
     )
 
 
-def _chi2_tail(x: Column, dof: int) -> Column:
-    """Upper tail for an even number of degrees of freedom."""
-    half = x / 2
-    total = F.lit(1.0)
-    for i in range(1, dof // 2):
-        total = total + F.pow(half, F.lit(float(i))) / F.lit(float(math.factorial(i)))
-    return F.exp(-half) * total
+def _chi2_tail(x: str, dof: int) -> str:
+    """Upper tail for an even number of degrees of freedom, as SQL."""
+    terms = " + ".join(f"power({x} / 2, {i}) / {float(math.factorial(i))}D" for i in range(dof // 2))
+    return f"exp(-{x} / 2) * ({terms})"
 
 
 def ljung_box(residuals: DataFrame, lags: tuple[int, int] = (10, 20), alpha: float = 0.05) -> DataFrame:
@@ -188,40 +185,27 @@ def ljung_box(residuals: DataFrame, lags: tuple[int, int] = (10, 20), alpha: flo
     ``residuals`` has (series, ts, e).
     """
     short, long = lags
-    w = Window.partitionBy("series").orderBy("ts")
-    centred = residuals.withColumn("_c", F.col("e") - F.avg("e").over(Window.partitionBy("series")))
-    lagged = centred.withColumns({f"_l{k}": F.lag("_c", k).over(w) for k in range(1, long + 1)})
+    centred = residuals.selectExpr("series", "ts", "e", "e - avg(e) over (partition by series) as c")
+    lagged = centred.selectExpr(
+        "series", "e", "c", *[f"lag(c, {k}) over (partition by series order by ts) as l{k}" for k in range(1, long + 1)]
+    )
+    products = ", ".join(f"sum(c * l{k})" for k in range(1, long + 1))
     m = lagged.groupBy("series").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("e").alias("residual_mean"),
         F.stddev_samp("e").alias("residual_std"),
-        F.sum(F.col("_c") * F.col("_c")).alias("_s0"),
-        *[F.sum(F.col("_c") * F.col(f"_l{k}")).alias(f"_s{k}") for k in range(1, long + 1)],
+        F.expr("sum(c * c)").alias("s0"),
+        F.expr(f"array({products})").alias("s"),
     )
 
-    def q(upto: int) -> Column:
-        n = F.col("n")
-        total = F.lit(0.0)
-        for k in range(1, upto + 1):
-            r = F.col(f"_s{k}") / F.col("_s0")
-            total = total + r * r / (n - k)
-        return n * (n + 2) * total
+    def q(upto: int) -> str:
+        terms = " + ".join(f"power(s[{k - 1}] / s0, 2) / (n - {k})" for k in range(1, upto + 1))
+        return f"n * (n + 2) * ({terms}) as q{upto}"
 
-    return (
-        m.withColumns({f"q{short}": q(short), f"q{long}": q(long)})
-        .withColumns({f"p{short}": _chi2_tail(F.col(f"q{short}"), short), f"p{long}": _chi2_tail(F.col(f"q{long}"), long)})
-        .select(
-            "series",
-            "n",
-            "residual_mean",
-            "residual_std",
-            f"q{short}",
-            f"p{short}",
-            f"q{long}",
-            f"p{long}",
-            ((F.col(f"p{short}") > alpha) & (F.col(f"p{long}") > alpha)).alias("white_noise"),
-        )
+    tests = m.selectExpr("series", "n", "residual_mean", "residual_std", q(short), q(long)).selectExpr(
+        "*", f"{_chi2_tail(f'q{short}', short)} as p{short}", f"{_chi2_tail(f'q{long}', long)} as p{long}"
     )
+    return tests.withColumn("white_noise", (F.col(f"p{short}") > alpha) & (F.col(f"p{long}") > alpha))
 
 
 def forecast_breach_eval(forecasts: DataFrame, baseline: DataFrame, sigmas: float = SIGMAS) -> DataFrame:
