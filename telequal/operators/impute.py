@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from telequal.operators.ordered import exact_quantiles, fitted_row, number, per_column_struct
 from telequal.operators.panel import Layout, forward_fill
-from telequal.session import durable
+from telequal.session import broadcast_if_small, durable
 
 
 def constant_fill(df: DataFrame, values: dict[str, float | int | str]) -> DataFrame:
@@ -18,7 +18,7 @@ def constant_fill(df: DataFrame, values: dict[str, float | int | str]) -> DataFr
 
 def medians(df: DataFrame, cols: Sequence[str], group: str | None = None) -> DataFrame:
     """Exact medians (column, n, median), per group value if given."""
-    return exact_quantiles(df, cols, {"median": 0.5}, [group] if group else [], few_keys=False)
+    return exact_quantiles(df, cols, {"median": 0.5}, [group] if group else [])
 
 
 def median_fill(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
@@ -29,13 +29,13 @@ def median_fill(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
 def group_median_fill(
     df: DataFrame, cols: Sequence[str], group: str, fit_on: DataFrame | None = None
 ) -> DataFrame:
-    """Fill with the median of the row's group, for groups such as device types (a fixed, small set)."""
+    """Fill with the median of the row's group, such as its device type."""
     src = (fit_on if fit_on is not None else df).where(F.col(group).isNotNull())
-    found = exact_quantiles(src, cols, {"median": 0.5}, [group], few_keys=True)
+    found = exact_quantiles(src, cols, {"median": 0.5}, [group])
     wide = found.groupBy(group).agg(
         *[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"_m_{c}") for c in cols]
     )
-    joined = df.join(F.broadcast(wide), group, "left")
+    joined = df.join(broadcast_if_small(wide), group, "left")
     return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_m_{c}")) for c in cols}).select(*df.columns)
 
 

@@ -87,7 +87,8 @@ def order_statistics(
 
     Each rank is a function of the row count column.  Raw rows are never shuffled: bucket
     totals are combined map-side, and only the buckets that hold a wanted rank are read on.
-    ``few_keys`` states that ``keys`` take a fixed, small set of values.
+    ``few_keys`` states that ``keys`` take a set of values fixed in code (column names); other keys are
+    broadcast only after their number is checked.
     """
     src = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     n = n or max(SELECT_BUCKETS, shuffle_width(df.sparkSession))

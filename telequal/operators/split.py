@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from telequal.functions.numbers import steady_round
 from telequal.operators.ordered import fitted_row, instant, number, order_statistics
 from telequal.schemas import TEST_SIZE, TRAIN_SHARE, VALIDATION_SIZE
+from telequal.session import broadcast_if_small
 
 MIX_PRIME = 2_147_483_647
 
@@ -49,8 +50,8 @@ def split_summary(df: DataFrame, label: str, entity: str, split: str = "split")
 
 
 def _class_cuts(df: DataFrame, label: str, order: str, ranks: dict) -> DataFrame:
-    """Order values at wanted ranks, one row per class (classes are few)."""
-    return order_statistics(df, order, ranks, [label], few_keys=True)
+    """Order values at wanted ranks, one row per class."""
+    return broadcast_if_small(order_statistics(df, order, ranks, [label]).drop("n"))
 
 
 def stratified_split(
@@ -75,21 +76,21 @@ def stratified_split(
         return n_test(n) + F.round((n - n_test(n)) * F.lit(val_size))
 
     src = df.withColumn("_order", order)
-    cuts = _class_cuts(src, label, "_order", {"_test": n_test, "_val": n_held}).drop("n")
+    cuts = _class_cuts(src, label, "_order", {"_test": n_test, "_val": n_held})
     split = (
         F.when(F.col("_order") < F.col("_test"), "test")
         .when(F.col("_order") < F.col("_val"), "val")
         .otherwise("train")
     )
-    return src.join(F.broadcast(cuts), label).withColumn(out, split).select(*df.columns, out)
+    return src.join(cuts, label).withColumn(out, split).select(*df.columns, out)
 
 
 def stratified_sample(df: DataFrame, label: str, order: Column, n: int, ratio: int = 5) -> DataFrame:
     """Up to ``n`` rows of class 0 and ``n // ratio`` of every other class."""
     size = F.when(F.col(label) == 0, F.lit(n)).otherwise(F.lit(n // ratio))
     src = df.withColumn("_order", order)
-    cuts = _class_cuts(src, label, "_order", {"_cut": lambda cnt: F.least(size, cnt) - 1}).drop("n")
-    return src.join(F.broadcast(cuts), label).where("_order <= _cut").select(*df.columns)
+    cuts = _class_cuts(src, label, "_order", {"_cut": lambda cnt: F.least(size, cnt) - 1})
+    return src.join(cuts, label).where("_order <= _cut").select(*df.columns)
 
 
 def uniform_sample(df: DataFrame, order: Column, n: int) -> DataFrame:

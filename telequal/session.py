@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Largest row count that may be sent to every executor.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -46,5 +46,11 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after a count shows that ``df`` stays below ``max_rows``."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """A broadcast copy of ``df`` if it has at most ``max_rows`` rows, else ``df`` for an ordinary join.
+
+    The rows that the check reads are kept, so a small frame is computed once.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))

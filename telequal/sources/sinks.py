@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 def write_by_date(df: DataFrame, path: str, ts: str = "timestamp", date_column: str = "date") -> None:
     """Hive-style date folders; a rerun replaces the dates it holds and no others.
 
-    Rows are spread by date and a second key so that one very large day is written by many tasks.
+    Rows are grouped by date; adaptive execution splits a very large day over many tasks and merges small ones.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
     (
         df.withColumn(date_column, F.to_date(ts))
-        .repartition(date_column, spread)
+        .hint("rebalance", F.col(date_column))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_column)
