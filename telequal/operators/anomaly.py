@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telequal.operators.evaluate import roc_auc
-from telequal.operators.ordered import fitted_row, number, running_totals
+from telequal.operators.ordered import exact_quantiles, fitted_row, number, running_totals
 from telequal.operators.split import hashed
 from telequal.operators.stats import fit_minmax, minmax_norm
-from telequal.schemas import IF_SAMPLE, IF_TREES, IF_WEIGHT, LOF_WEIGHT
+from telequal.schemas import ANOMALY_SHARE, IF_SAMPLE, IF_TREES, IF_WEIGHT, LOF_WEIGHT
 from telequal.session import durable
 
 NODES = "tree int, node int, feature int, threshold double, left int, right int, path double"
@@ -158,6 +158,11 @@ def fit_ensemble(train: DataFrame, if_col: str = "if_score", lof_col: str = "lof
     return fit_minmax(train, [if_col, lof_col])
 
 
+def percentile_threshold(scored: DataFrame, score: str, share: float = ANOMALY_SHARE) -> float:
+    """Threshold without labels: the score that ``share`` of the training rows stay below."""
+    return float(fitted_row(exact_quantiles(scored, [score], {"cut": share}))["cut"])
+
+
 def permuted(df: DataFrame, features: Sequence[str], keys: Sequence[str], seed: int = 42) -> DataFrame:
     """Every row once per feature (``shuffled``), with that feature taken from another row.
 

@@ -91,7 +91,8 @@ def fit_churn(train: DataFrame, kind: str = "mlp", max_iter: int = 100, seed: in
         weight = rows.agg(F.count_if(F.col("label") != 1) / n_pos).first()[0]
         rows = rows.withColumn("weight", F.when(F.col("label") == 1, weight).otherwise(F.lit(1.0)))
         learner = LogisticRegression(weightCol="weight", maxIter=max_iter)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # every iteration reads all rows
+    # Every iteration reads all rows: spread them evenly once, copies of positives included.
+    rows = rows.repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return ChurnModel(codes, scaler, learner.fit(rows))
     finally:

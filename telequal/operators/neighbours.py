@@ -7,7 +7,7 @@ visit, so the result is exact while no task sees the whole set.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -243,3 +243,22 @@ def lof_score(queries: DataFrame, model: DataFrame, k: int = LOF_NEIGHBOURS) ->
     near = broadcast_if_small(model.select(F.col("id").alias("neighbour"), "kdist", F.col("lrd").alias("_lrd")))
     own_density = F.lit(1.0) / (_mean(F.greatest("dist", "kdist")) + F.lit(1e-10))
     return pairs.join(near, "neighbour").groupBy("id").agg((_mean(F.col("_lrd")) / own_density).alias("lof"))
+
+
+def vector(features: Sequence[str]) -> Column:
+    return F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features])
+
+
+def fit_row_lof(df: DataFrame, features: Sequence[str], k: int = LOF_NEIGHBOURS) -> DataFrame:
+    """:func:`fit_lof` on the feature columns of rows that have no integer key."""
+    return fit_lof(df.select(F.monotonically_increasing_id().alias("id"), vector(features).alias("vec")), k)
+
+
+def row_lof(
+    df: DataFrame, model: DataFrame, features: Sequence[str], out: str = "lof", k: int = LOF_NEIGHBOURS
+) -> DataFrame:
+    """Add the outlier factor of every row; rows with equal features are scored once."""
+    vecs = df.select(vector(features).alias("vec")).distinct()
+    vecs = durable(vecs.withColumn("id", F.monotonically_increasing_id()))
+    scores = vecs.join(lof_score(vecs, model, k), "id").select("vec", F.col("lof").alias(out))
+    return df.withColumn("vec", vector(features)).join(scores, "vec").drop("vec")

@@ -133,6 +133,7 @@ CUSTOMER_DEFAULTS = {
 
 IF_TREES, IF_SAMPLE, LOF_NEIGHBOURS = 200, 256, 20
 IF_WEIGHT, LOF_WEIGHT = 0.60, 0.40
+ANOMALY_SHARE = 0.88
 ROLLING_ROWS = 4
 BASELINE_ROWS, BASELINE_MIN_ROWS, SIGMAS = 168, 24, 3.0
 SEASON = 24

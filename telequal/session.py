@@ -29,9 +29,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/telequal-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a written table, in this application's part of the shared folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the tables this application wrote for its own use; call it when their readers are done."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def durable(df: DataFrame) -> DataFrame:

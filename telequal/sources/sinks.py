@@ -35,9 +35,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def records_json(df: DataFrame, out: str = "record") -> DataFrame:
-    """One JSON object per row, timestamps as text, missing values dropped."""
+    """One JSON object per row, timestamps as text, missing values as null."""
     text: list[Column] = [
         F.col(f.name).cast("string").alias(f.name) if f.dataType.typeName().startswith("timestamp") else F.col(f.name)
         for f in df.schema
     ]
-    return df.select(F.to_json(F.struct(*text)).alias(out))
+    return df.select(F.to_json(F.struct(*text), {"ignoreNullFields": "false"}).alias(out))
