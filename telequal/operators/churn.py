@@ -40,6 +40,8 @@ from telequal.schemas import (
 from telequal.session import durable
 
 LABEL = "churn"
+# Training rows below which another task costs more than it saves.
+ROWS_PER_TASK = 10_000
 
 
 @dataclass(frozen=True)
@@ -91,8 +93,11 @@ def fit_churn(train: DataFrame, kind: str = "mlp", max_iter: int = 100, seed: in
         weight = rows.agg(F.count_if(F.col("label") != 1) / n_pos).first()[0]
         rows = rows.withColumn("weight", F.when(F.col("label") == 1, weight).otherwise(F.lit(1.0)))
         learner = LogisticRegression(weightCol="weight", maxIter=max_iter)
-    # Every iteration reads all rows: spread them evenly once, copies of positives included.
-    rows = rows.repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+    # Every iteration is a job over all rows: few rows are gathered in few tasks, many stay as they are.
+    tasks = -(-rows.count() // ROWS_PER_TASK)
+    if tasks <= spark.sparkContext.defaultParallelism:
+        rows = rows.repartition(max(1, tasks))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return ChurnModel(codes, scaler, learner.fit(rows))
     finally:
