@@ -15,11 +15,14 @@ def cross_signal_flag(
 ) -> DataFrame:
     """1 where the same key has an event in the row's hour.
 
-    Events are reduced to distinct (key, hour) first, so the join never multiplies rows.
+    Events are reduced to distinct (key, hour) first, so the join never multiplies rows; while those are
+    few the rows are not shuffled, beyond that adaptive execution splits a hot (key, hour).
     """
-    hours = events.select(
-        F.col(event_key or key).alias("_k"), hour_floor(ts).alias("_h"), F.lit(1).alias("_seen")
-    ).distinct()
+    hours = broadcast_if_small(
+        events.select(
+            F.col(event_key or key).alias("_k"), hour_floor(ts).alias("_h"), F.lit(1).alias("_seen")
+        ).distinct()
+    )
     return (
         df.withColumn("_hour", hour_floor(ts))
         .join(hours, (F.col(key) == F.col("_k")) & (F.col("_hour") == F.col("_h")), "left")
