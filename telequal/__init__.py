@@ -1 +1,8 @@
 """Telemetry quality, anomaly, forecasting and churn analytics as Spark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with their helpers, so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
