@@ -4,10 +4,11 @@ A classifier learned from the labelled table gives every document a posterior ov
 used at rate r adds r * tokens * posterior to the domains' expected token totals.  The rates are the nonnegative
 least-squares solution that brings these totals to target * corpus tokens, found by projected gradient steps:
 each step is one distributed sum over a narrow table, and a document's rate follows from its posterior and the
-short list of past steps, so no per-document state is kept between steps.
+short list of steps.
 
-The residual is measured in the inverse of the domains' token cross-moments, in which one step is already exact
-where no rate meets zero; later steps correct for those that do.
+The residual is measured in the inverse of the domains' token cross-moments (with a ridge), which makes all domains
+converge alike, and a small pull towards rate 1 keeps rates moderate where a target is out of reach.  Domains with
+less than ``LEAST_SHARE`` of the tokens cannot be raised by rates; their targets go to the others in proportion.
 """
 
 from __future__ import annotations
@@ -27,8 +28,13 @@ TARGETS = (0.05, 0.005, 0.93, 0.015)
 BINS = 1 << 13
 LABELLED_ROWS = 20_000
 SHARPNESS = 15.0
-MOST_STEPS = 40
-TOLERANCE = 1e-6
+MOST_STEPS = 30
+TOLERANCE = 1e-4
+PULL = 0.01
+RIDGE = 0.02
+LEAST_SHARE = 1e-3
+#: Steps after which the rates so far are written, to keep plans short.
+WRITE_EVERY = 5
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, bins: int = BINS, rows: int = LABELLED_ROWS):
@@ -75,16 +81,23 @@ def posteriors(docs: DataFrame, model, sharpness: float = SHARPNESS) -> DataFram
     return out.withColumn("posterior", F.transform("_odds", lambda x: x / total)).drop("_words", "_bins", "_logits", "_odds")
 
 
-def _dot(step: list[float]) -> Column:
-    return sum((F.lit(float(g)) * F.get("posterior", F.lit(d)) for d, g in enumerate(step)), F.lit(0.0))
+def _stepped(rate: Column, posterior: Column, step: Column) -> Column:
+    """One projected step of a rate: against the gradient of the residual and of the pull to 1."""
+    dot = F.aggregate(F.zip_with(posterior, step, lambda p, g: p * g), F.lit(0.0), lambda s, x: s + x)
+    return F.greatest(F.lit(0.0), rate - (dot + PULL * (rate - 1.0)) / (1 + PULL))
 
 
-def rate(steps: list[list[float]]) -> Column:
+def _constants(values: list[float]) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
+def rate_of(steps: list[list[float]]) -> Column:
     """A document's rate after these steps from rate 1."""
-    r: Column = F.lit(1.0)
-    for step in steps:
-        r = F.greatest(F.lit(0.0), r - _dot(step))
-    return r
+    if not steps:
+        return F.lit(1.0)
+    return F.aggregate(
+        F.array(*map(_constants, steps)), F.lit(1.0), lambda r, g: _stepped(r, F.col("posterior"), g)
+    )
 
 
 def fit_rates(members: DataFrame, targets=TARGETS, most_steps: int = MOST_STEPS, tolerance: float = TOLERANCE):
@@ -93,21 +106,32 @@ def fit_rates(members: DataFrame, targets=TARGETS, most_steps: int = MOST_STEPS,
     p = [F.get("posterior", F.lit(d)) for d in range(k)]
     t = F.col("tokens").cast("double")
     first = members.agg(
-        F.sum(t).alias("total"), *[F.sum(t * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]
+        F.sum(t).alias("total"),
+        *[F.sum(t * x).alias(f"d{i}") for i, x in enumerate(p)],
+        *[F.sum(t * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)],
     ).first()
     steps: list[list[float]] = []
     if not first["total"]:
         return steps
-    cross = np.array([[first[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / first["total"]
-    inverse = np.linalg.inv(cross + np.eye(k) * 1e-9 * np.trace(cross))
-    goal = np.asarray(targets, float) / sum(targets)
-    for _ in range(most_steps):
-        r = rate(steps)
-        now = members.agg(*[F.sum(r * t * x).alias(f"d{i}") for i, x in enumerate(p)]).first()
-        gap = np.array([now[f"d{i}"] for i in range(k)]) / first["total"] - goal
-        if np.abs(gap).max() <= tolerance:
-            break
-        steps.append([float(f"{g:.12g}") for g in inverse @ gap])
+    total = first["total"]
+    share = np.array([first[f"d{i}"] for i in range(k)]) / total
+    cross = np.array([[first[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / total
+    metric = np.linalg.inv(cross + RIDGE * np.eye(k))
+    present = share >= LEAST_SHARE
+    goal = np.where(present, np.asarray(targets, float), 0.0)
+    goal = np.where(present, goal / max(goal.sum(), 1e-12) * (1 - share[~present].sum()), share)
+    state, pending = members.withColumn("rate", F.lit(1.0)), 0
+    gap = share - goal
+    while len(steps) < most_steps and np.abs(gap).max() > tolerance:
+        steps.append([float(f"{g:.12g}") for g in metric @ gap])
+        state = state.withColumn("rate", _stepped(F.col("rate"), F.col("posterior"), _constants(steps[-1])))
+        pending += 1
+        if pending == WRITE_EVERY:
+            state, pending = durable(state), 0
+        now = state.agg(*[F.sum(F.col("rate") * t * x).alias(f"d{i}") for i, x in enumerate(p)]).first()
+        before, gap = gap, np.array([now[f"d{i}"] for i in range(k)]) / total - goal
+        if np.abs(gap - before).max() <= tolerance / 100:
+            break  # what is left cannot be reached
     return steps
 
 
@@ -125,7 +149,7 @@ def mixed(docs: DataFrame, labels: DataFrame, targets=TARGETS, keep_text: bool =
     members = durable(scored if keep_text else scored.drop("text"))
     steps = fit_rates(members.select("tokens", "posterior"), targets)
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
-    out = members.withColumn("rate", rate(steps)).where("rate > 0")
+    out = members.withColumn("rate", rate_of(steps)).where("rate > 0")
     out = out.withColumn("copies", F.floor(F.col("rate") + draw).cast("long"))
     kept = [c for c in docs.columns if c not in ("tokens", "rate", "copies") and (keep_text or c != "text")]
     return out.select(*[F.col(own.get(c, c)).alias(c) for c in kept], "tokens", "posterior", "rate", "copies")

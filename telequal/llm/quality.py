@@ -115,5 +115,7 @@ def judged(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD)
 def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns only, whatever these are named."""
     own = {c: f"_own{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
-    passed = judged(docs.withColumnsRenamed(own), fit(docs, labels)).where("kept")
+    # The row number keeps the filter above the word arrays; pushed below, it would split the text once per word.
+    passed = judged(docs.withColumnsRenamed(own), fit(docs, labels)).withColumn("_row", F.monotonically_increasing_id())
+    passed = passed.where("kept AND _row >= 0")
     return passed.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
