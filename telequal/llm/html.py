@@ -100,7 +100,7 @@ def parsed(page: str) -> list[Node]:
             links += len(text.strip())
 
     while True:
-        m = _TAG.search(page, at)
+        m = _TAG.search(page, at) if page.find(">", at) >= 0 else None
         if m is None:
             say(page[at:])
             break

@@ -8,8 +8,9 @@
 4. Every representative meets the smallest id under each of its keys.  Pairs pass a size test, the collision-corrected
    estimate with a margin of six standard errors, and then the exact test on the full sets.
 5. Keys whose members then still lie in different components are looked at again, so that no link between members of
-   two components is lost: small ones pair by pair, large ones (texts that share a passage but little else) dealt out
-   to the keys of all other bands first.  Pairs within a component are never formed.
+   two components is lost: small ones pair by pair; the documents of large ones (texts that share a passage but little
+   else) get new keys from ``WIDE_BANDS`` wider bands, which such texts do not share, and go through 4 and 5 again.
+   Pairs within a component are never formed.
 
 A copy group of any size costs one comparison per member and band key, and no step gathers a group in one task.
 """
@@ -30,9 +31,10 @@ _BUCKET_BITS = 9
 _REST = 64 - _BUCKET_BITS
 MANTISSA_BITS = 10
 MISS = 1e-7
-#: Keys with more members of several components are dealt out again, at most this often.
+#: A key with more members, of several components, is large.
 LARGE_KEY = 24
-MOST_ROUNDS = 3
+WIDE_BANDS = 320
+WIDE_MATCH = 0.07
 
 
 def bands_for(similarity: float) -> tuple[int, int]:
@@ -44,6 +46,16 @@ def bands_for(similarity: float) -> tuple[int, int]:
     return REGISTERS, 1
 
 
+def band_registers(similarity: float, wide: bool) -> np.ndarray:
+    """The registers of each band: consecutive ones, or for wide bands a fixed random choice."""
+    if not wide:
+        bands, rows = bands_for(similarity)
+        return np.arange(bands * rows).reshape(bands, rows)
+    rows = max(1, int(np.log(WIDE_MATCH) / np.log(similarity)))
+    draw = np.random.default_rng(1)
+    return np.stack([draw.choice(REGISTERS, rows, replace=False) for _ in range(WIDE_BANDS)])
+
+
 def shingles(block: tx.Block, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of every text, sorted within it, and each one's text.  A text of fewer words is one
     shingle; one without words has none."""
@@ -125,26 +137,23 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _band_keys(rows: DataFrame, bands: int, width: int, dealt: int = 0) -> DataFrame:
-    """A row (``key``, ``id``) per band that has a filled register.  Keys dealt out again are refined by bands of
-    registers in another order each time."""
+def _band_keys(rows: DataFrame, registers_of: np.ndarray) -> DataFrame:
+    """A row (``key``, ``id``) per band that has a filled register."""
 
     def run(batches):
-        order = np.random.default_rng(dealt).permutation(REGISTERS) if dealt else np.arange(REGISTERS)
+        bands, width = registers_of.shape
         for whole in batches:
-            for a in range(0, len(whole), 1024):
-                batch = whole.slice(a, 1024)
+            for a in range(0, len(whole), 512):
+                batch = whole.slice(a, 512)
                 m = len(batch)
-                if not m:
-                    continue
                 regs = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(m, REGISTERS)
-                regs = regs[:, order[: bands * width]].reshape(m, bands, width).astype(np.uint64)
-                key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (m, bands)).copy()
-                if dealt:
-                    key += batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)[:, None]
+                key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(width), (m, bands)).copy()
+                filled = np.zeros((m, bands), bool)
                 for j in range(width):
-                    key = tx.mix(key * np.uint64(0xD6E8FEB86659FD93) + regs[:, :, j])
-                r, c = np.nonzero(regs.any(axis=2))
+                    one = regs[:, registers_of[:, j]]
+                    filled |= one != 0
+                    key = tx.mix(key * np.uint64(0xD6E8FEB86659FD93) + one)
+                r, c = np.nonzero(filled)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[r, c].view(np.int64)), batch.column("id").take(pa.array(r))], names=["key", "id"]
                 )
@@ -209,7 +218,6 @@ def classes(docs: DataFrame, width: int = 3, similarity: float = 0.85) -> DataFr
     component of the smallest of their texts' classes.  An empty table gives an empty result.  Only ``doc_id`` and
     ``text`` are read; other columns are ignored.
     """
-    bands, rows = bands_for(similarity)
     size_ok = f"{round(similarity * 100)} * greatest(n_a, n_b) <= 100 * least(n_a, n_b)"
     sketches = durable(sketched(docs, width))
     full = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -220,9 +228,9 @@ def classes(docs: DataFrame, width: int = 3, similarity: float = 0.85) -> DataFr
         full.join(groups, ["k1", "k2", "n_shingles"]).where("doc_id = id")
         .select("id", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["id"])
     )
-    keys = _band_keys(reps, bands, rows)
-    links, roots = None, None
-    for last in range(MOST_ROUNDS + 1):
+    among, links = reps, None
+    for wide in (False, True):
+        keys = _band_keys(among, band_registers(similarity, wide))
         shared = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("lead")).where("size > 1")
         met = durable(keys.join(shared.select("key", "lead"), "key"))
         star = met.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
@@ -234,7 +242,7 @@ def classes(docs: DataFrame, width: int = 3, similarity: float = 0.85) -> DataFr
         )
         mixed = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
         open_ = durable(placed.join(mixed.where("lo < hi AND size > 2").select("key", "size"), "key"))
-        small = open_ if last == MOST_ROUNDS else open_.where(F.col("size") <= LARGE_KEY)
+        small = open_ if wide else open_.where(F.col("size") <= LARGE_KEY)
         small = durable(small.join(reps.select("id", "n"), "id"))
         one = small.select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), "lead")
         two = small.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
@@ -244,12 +252,10 @@ def classes(docs: DataFrame, width: int = 3, similarity: float = 0.85) -> DataFr
         )
         more = _verified(cross, reps, docs, similarity, width)
         links = links.union(more)
-        large = open_.where(F.col("size") > LARGE_KEY)
-        if last == MOST_ROUNDS or large.isEmpty():
+        large = open_.where(F.col("size") > LARGE_KEY).select("id").distinct()
+        if wide or large.isEmpty():
             break
-        keys = durable(
-            _band_keys(large.select("key", "id").join(reps, "id"), bands, rows, dealt=last + 1).distinct()
-        )
+        among = durable(reps.join(large, "id", "left_semi"))
     roots = components(links)
     ids = groups.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "k1", "k2", "n_shingles", F.coalesce("root", "id").alias("component_id")
