@@ -207,18 +207,22 @@ def sampled_attribution(
     score: str,
     permutations: int = 20,
     seed: int = 42,
+    background_rows: int = 100,
 ) -> DataFrame:
     """(key, feature, attribution) for any scorer, by sampled orders of the features.
 
     Along each order the features switch one by one from a background row to the explained row; a
     feature's share is the mean change of the score at its switch.  Shares sum to the row's score minus
-    the mean score of the background rows used.
+    the mean score of the background rows.  Every order is walked from each of ``background_rows`` rows of
+    ``background`` in turn: as many walks as the larger of the two numbers, so that both are used in full.
     """
     spark = df.sparkSession
     rng = np.random.default_rng(seed)
-    orders = [rng.permutation(len(features)).tolist() for _ in range(permutations)]
-    base = uniform_sample(background, hashed(*background.columns, seed=seed), permutations)
-    base = base.select(*features).collect()[:permutations]  # at most ``permutations`` rows
+    base = uniform_sample(background, hashed(*background.columns, seed=seed), background_rows)
+    base = base.select(*features).collect()  # uniform_sample gives background_rows rows at most
+    distinct = [rng.permutation(len(features)).tolist() for _ in range(permutations)]
+    permutations = max(permutations, len(base))
+    orders = [distinct[i % len(distinct)] for i in range(permutations)]
     plan = spark.createDataFrame(
         [(i, o, *base[i % len(base)]) for i, o in enumerate(orders)],
         T.StructType(

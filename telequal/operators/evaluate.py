@@ -25,8 +25,12 @@ def _f1(p: Column, r: Column) -> Column:
 def confusion_metrics(
     df: DataFrame, label: str, predicted: Column, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """tn, fp, fn, tp, precision, recall, f1; ratios are 0 where undefined."""
+    """tn, fp, fn, tp, precision, recall, f1; ratios are 0 where undefined.
+
+    A row without a prediction counts as predicted negative, so a positive that was never scored lowers recall.
+    """
     y = F.col(label) == 1
+    predicted = F.coalesce(predicted, F.lit(False))
     counts = df.groupBy(*keys).agg(
         F.count_if(~predicted & ~y).alias("tn"),
         F.count_if(predicted & ~y).alias("fp"),
@@ -49,8 +53,13 @@ def confusion_metrics(
 def score_counts(
     df: DataFrame, label: str, score: str, keys: Sequence[str] = (), n: int | None = None
 ) -> DataFrame:
-    """Per distinct score: pos and neg counts, with their running sums and totals."""
-    src = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    """Per distinct score: pos and neg counts, with their running sums and totals.
+
+    A row without a score (null or NaN) ranks below all scores, so it is never among the predicted positives of
+    a threshold but counts in the totals; rows without a label are left out.
+    """
+    number_of = F.coalesce(F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double")), F.lit(float("-inf")))
+    src = df.where(F.col(label).isNotNull()).withColumn(score, number_of)
     per_score = src.groupBy(*keys, F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )

@@ -51,7 +51,11 @@ def seasonal_frame(panel: DataFrame, season: int = SEASON, share: float = TRAIN_
 
 
 def panel_sar_fit(frame: DataFrame) -> DataFrame:
-    """One row per series: phi (lag 1), seasonal phi, n, residual variance, llf, aic and bic."""
+    """One row per series: phi (lag 1), seasonal phi, n, residual variance, llf, aic and bic.
+
+    A series whose training part is too short for any pair of lags has null parameters and the ``reason``
+    'too little history'; all others have a null reason.
+    """
 
     def s(a: str, b: str) -> Column:
         return F.sum(F.col(a) * F.col(b))
@@ -75,29 +79,35 @@ def panel_sar_fit(frame: DataFrame) -> DataFrame:
     phs = F.when(det != 0, (c("b2") * c("s11") - c("b1") * c("s12")) / det).otherwise(F.lit(0.0))
     sse = c("szz") - c("phi") * c("b1") - c("phi_season") * c("b2")
     llf = -c("n") / 2.0 * (F.log(F.lit(2 * math.pi) * c("sigma2")) + F.lit(1.0))
+    every = frame.groupBy("series").agg(F.count_if("train").alias("n_train"))
     return (
-        m.withColumns({"phi": phi, "phi_season": phs})
+        every.join(m.withColumns({"phi": phi, "phi_season": phs}), "series", "left")
         .withColumn("sigma2", sse / c("n"))
         .withColumn("llf", llf)
         .select(
             "series",
-            "n",
+            F.coalesce("n", F.lit(0).cast("bigint")).alias("n"),
             "phi",
             "phi_season",
             "sigma2",
             "llf",
             (F.lit(6.0) - c("llf") * 2).alias("aic"),
             (F.log(c("n")) * 3 - c("llf") * 2).alias("bic"),
+            F.when(c("n").isNull(), "too little history").alias("reason"),
         )
     )
 
 
 def panel_sar_forecast(frame: DataFrame, fit: DataFrame) -> DataFrame:
-    """One-step-ahead forecast of every row with enough history: (series, ts, train, actual, forecast)."""
-    value = F.col("y_season") + F.col("phi") * F.col("z1") + F.col("phi_season") * F.col("zs")
+    """One-step-ahead forecast of every row with enough history: (series, ts, train, actual, forecast).
+
+    A series without a fit has the value of one season before, where there is one, else a null forecast.
+    """
+    fitted = F.col("y_season") + F.col("phi") * F.col("z1") + F.col("phi_season") * F.col("zs")
+    value = F.when(F.col("phi").isNull(), F.col("y_season")).otherwise(fitted)
     return (
-        frame.where(F.col("z1").isNotNull() & F.col("zs").isNotNull())
-        .join(fit.select("series", "phi", "phi_season"), "series")
+        frame.join(fit.select("series", "phi", "phi_season"), "series")
+        .where(F.col("phi").isNull() | (F.col("z1").isNotNull() & F.col("zs").isNotNull()))
         .select("series", "ts", "pos", "train", F.col("y").alias("actual"), value.alias("forecast"))
     )
 
@@ -106,7 +116,8 @@ def panel_sar_horizon(frame: DataFrame, fit: DataFrame, steps: int, season: int
     """Forecast ``steps`` hours past the training part of each series, feeding forecasts back.
 
     Only the last ``2 * season`` training values of a series are needed, so the state of a series is a
-    short array that a fold extends step by step.
+    short array that a fold extends step by step.  A series without a fit or with fewer values repeats its
+    last season; one shorter than a season has null forecasts.
     """
     last = frame.where("train").withColumn(
         "_back", F.row_number().over(Window.partitionBy("series").orderBy(F.col("ts").desc()))
@@ -120,17 +131,19 @@ def panel_sar_horizon(frame: DataFrame, fit: DataFrame, steps: int, season: int
                 F.sort_array(F.collect_list(F.struct("ts", "y"))), lambda p: p["y"]
             ).alias("_y"),
         )
-        .where(F.size("_y") == 2 * season)
     )
 
     def extend(y: Column, _: Column) -> Column:
         def at(k: int) -> Column:
-            return F.element_at(y, -k)
+            return F.get(y, F.size(y) - k)
 
         z1, zs = at(1) - at(season + 1), at(season) - at(2 * season)
-        return F.concat(y, F.array(at(season) + F.col("phi") * z1 + F.col("phi_season") * zs))
+        fitted = at(season) + F.col("phi") * z1 + F.col("phi_season") * zs
+        return F.concat(y, F.array(F.when(F.size("_y") < 2 * season, at(season)).otherwise(F.coalesce(fitted, at(season)))))
 
-    path = F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.col("_y"), extend), 2 * season + 1, steps)
+    path = F.slice(
+        F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.col("_y"), extend), F.size("_y") + 1, F.lit(steps)
+    )
     return (
         tail.join(fit.select("series", "phi", "phi_season"), "series")
         .select("series", "origin", F.posexplode(path).alias("_i", "forecast"))
@@ -150,7 +163,10 @@ def seasonal_naive_error(frame: DataFrame) -> DataFrame:
 
 
 def df_stationarity(panel: DataFrame, critical: float = DF_CRITICAL_5PCT) -> DataFrame:
-    """Dickey-Fuller regression of the change on the previous value, per series."""
+    """Dickey-Fuller regression of the change on the previous value, per series.
+
+    The statistic is null for a series of three hours or fewer and for one without error.
+    """
     prev = F.lag("y").over(Window.partitionBy("series").orderBy("ts"))
     x, d = F.col("_prev"), F.col("_d")
     m = (
@@ -167,7 +183,8 @@ def df_stationarity(panel: DataFrame, critical: float = DF_CRITICAL_5PCT) -> Dat
         )
     )
     sse = F.col("syy") - F.col("slope") * F.col("sxy")
-    t = F.col("slope") / F.sqrt(sse / (F.col("n") - 2) / F.col("sxx"))
+    error = F.try_divide(F.try_divide(sse, (F.col("n") - 2).cast("double")), F.col("sxx"))
+    t = F.try_divide(F.col("slope"), F.sqrt(F.greatest(error, F.lit(0.0))))
     return m.select("series", "n", "slope", t.alias("statistic")).withColumn(
         "is_stationary", F.col("statistic") < F.lit(critical)
     )
@@ -182,7 +199,7 @@ def _chi2_tail(x: str, dof: int) -> str:
 def ljung_box(residuals: DataFrame, lags: tuple[int, int] = (10, 20), alpha: float = 0.05) -> DataFrame:
     """Per series: residual mean and deviation, Q statistic and p value at both lags, white-noise flag.
 
-    ``residuals`` has (series, ts, e).
+    ``residuals`` has (series, ts, e).  A constant series, or one no longer than a lag, has null statistics.
     """
     short, long = lags
     centred = residuals.selectExpr("series", "ts", "e", "e - avg(e) over (partition by series) as c")
@@ -199,7 +216,7 @@ def ljung_box(residuals: DataFrame, lags: tuple[int, int] = (10, 20), alpha: flo
     )
 
     def q(upto: int) -> str:
-        terms = " + ".join(f"power(s[{k - 1}] / s0, 2) / (n - {k})" for k in range(1, upto + 1))
+        terms = " + ".join(f"try_divide(power(try_divide(s[{k - 1}], s0), 2), n - {k})" for k in range(1, upto + 1))
         return f"n * (n + 2) * ({terms}) as q{upto}"
 
     tests = m.selectExpr("series", "n", "residual_mean", "residual_std", q(short), q(long)).selectExpr(

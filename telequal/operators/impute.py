@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telequal.operators.ordered import exact_quantiles, fitted_row, number, per_column_struct
@@ -16,6 +16,13 @@ def constant_fill(df: DataFrame, values: dict[str, float | int | str]) -> DataFr
     return df.fillna(values)
 
 
+def _known(df: DataFrame, c: str) -> Column:
+    """A column with NaN as null."""
+    if df.schema[c].dataType.typeName() in ("double", "float"):
+        return F.when(~F.isnan(c), F.col(c))
+    return F.col(c)
+
+
 def medians(df: DataFrame, cols: Sequence[str], group: str | None = None) -> DataFrame:
     """Exact medians (column, n, median), per group value if given."""
     return exact_quantiles(df, cols, {"median": 0.5}, [group] if group else [])
@@ -23,7 +30,7 @@ def medians(df: DataFrame, cols: Sequence[str], group: str | None = None) -> Dat
 
 def median_fill(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     fitted = fitted_row(per_column_struct(medians(fit_on if fit_on is not None else df, cols), cols, ["median"]))
-    return df.withColumns({c: F.coalesce(F.col(c), number(fitted[c]["median"])) for c in cols})
+    return df.withColumns({c: F.coalesce(_known(df, c), number(fitted[c]["median"])) for c in cols})
 
 
 def group_median_fill(
@@ -36,7 +43,7 @@ def group_median_fill(
         *[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"_m_{c}") for c in cols]
     )
     joined = df.join(broadcast_if_small(wide), group, "left")
-    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_m_{c}")) for c in cols}).select(*df.columns)
+    return joined.withColumns({c: F.coalesce(_known(df, c), F.col(f"_m_{c}")) for c in cols}).select(*df.columns)
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:

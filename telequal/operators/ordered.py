@@ -7,6 +7,7 @@ offsets from which each bucket is finished on its own.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
@@ -33,7 +34,7 @@ def range_splits(df: DataFrame, value: str, n: int | None = None) -> list[float]
     probs = [i / n for i in range(1, n)]
     sketch = F.percentile_approx(F.col(value).cast("double"), probs, 10 * n)
     cuts = df.sample(SKETCH_SHARE, seed=42).select(sketch.alias("cuts")).first().cuts or [0.0]
-    return [float("-inf"), *sorted(set(cuts)), float("inf")]
+    return [float("-inf"), *sorted({c for c in cuts if math.isfinite(c)} or {0.0}), float("inf")]
 
 
 def with_bucket(df: DataFrame, value: str, splits: list[float], out: str = BUCKET) -> DataFrame:
@@ -85,12 +86,12 @@ def order_statistics(
 ) -> DataFrame:
     """Exact values at 0-based ranks: one row per ``keys`` with ``n`` and a column per rank.
 
-    Each rank is a function of the row count column.  Raw rows are never shuffled: bucket
+    Null and NaN count as missing.  Each rank is a function of the row count column.  Raw rows are never shuffled: bucket
     totals are combined map-side, and only the buckets that hold a wanted rank are read on.
     ``few_keys`` states that ``keys`` take a set of values fixed in code (column names); other keys are
     broadcast only after their number is checked.
     """
-    src = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    src = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
     n = n or max(SELECT_BUCKETS, shuffle_width(df.sparkSession))
     src = with_bucket(src, "_v", range_splits(src, "_v", n))
     every = Window.partitionBy(*keys)

@@ -36,7 +36,8 @@ def coerced(name: str, actual: T.DataType, expected: T.DataType, zero_ints: bool
     if want == "double":
         return c.try_cast("double").alias(name)
     if want == "bigint":
-        number = c.try_cast("double").try_cast("bigint")
+        # Digits are read as they are where they are an integer; only other notations go through a double.
+        number = F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
         return (F.coalesce(number, F.lit(0).cast("bigint")) if zero_ints else number).alias(name)
     return c.cast(expected).alias(name)
 
@@ -153,12 +154,12 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def null_audit(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """(column, n_null, pct) over all rows, one pass."""
+    """(column, n_null, pct) over all rows, one pass; ``pct`` is null without rows."""
     items = [
         F.struct(
             F.lit(c).alias("column"),
             F.count_if(_missing(df, c)).alias("n_null"),
-            (F.count_if(_missing(df, c)) / F.count(F.lit(1)) * 100).alias("pct"),
+            (F.try_divide(F.count_if(_missing(df, c)), F.count(F.lit(1))) * 100).alias("pct"),
         )
         for c in cols or df.columns
     ]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telequal.functions.numbers import steady_round
@@ -49,9 +51,28 @@ def split_summary(df: DataFrame, label: str, entity: str, split: str = "split")
     )
 
 
-def _class_cuts(df: DataFrame, label: str, order: str, ranks: dict) -> DataFrame:
-    """Order values at wanted ranks, one row per class."""
-    return broadcast_if_small(order_statistics(df, order, ranks, [label]).drop("n"))
+def _first_rows(src: DataFrame, label: str, wanted: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """``src`` (with ``_order``) with a flag per name: among the first ``wanted(n)`` of the n rows of its class.
+
+    Order values decide; only rows that share the value at a boundary are ranked, by a hash of their columns, so
+    sizes are exact however many rows tie.
+    """
+    ranks = {f"_at_{k}": lambda n, f=f: F.least(f(n), n - 1) for k, f in wanted.items()}
+    cuts = broadcast_if_small(order_statistics(src, "_order", ranks, [label]).withColumnRenamed("n", "_n"))
+    placed = src.join(cuts, label)
+    below = placed.groupBy(label).agg(*[F.count_if(F.col("_order") < F.col(f"_at_{k}")).alias(f"_below_{k}") for k in wanted])
+    placed = placed.join(broadcast_if_small(below), label)
+    tied = reduce(or_, [F.col("_order") == F.col(f"_at_{k}") for k in wanted])
+    by_hash = Window.partitionBy(label, "_order").orderBy(F.xxhash64(*[F.col(c) for c in src.columns]))
+    rest = placed.where(~tied).withColumn("_rank", F.lit(0))
+    ranked = placed.where(tied).withColumn("_rank", F.row_number().over(by_hash))
+
+    def inside(k: str, f: Callable[[Column], Column]) -> Column:
+        at = F.col(f"_at_{k}")
+        taken = F.col("_rank") <= f(F.col("_n")) - F.col(f"_below_{k}")
+        return (F.col("_order") < at) | ((F.col("_order") == at) & taken)
+
+    return rest.unionByName(ranked).withColumns({f"_first_{k}": inside(k, f) for k, f in wanted.items()})
 
 
 def stratified_split(
@@ -75,29 +96,26 @@ def stratified_split(
     def n_held(n: Column) -> Column:
         return n_test(n) + F.round((n - n_test(n)) * F.lit(val_size))
 
-    src = df.withColumn("_order", order)
-    cuts = _class_cuts(src, label, "_order", {"_test": n_test, "_val": n_held})
-    split = (
-        F.when(F.col("_order") < F.col("_test"), "test")
-        .when(F.col("_order") < F.col("_val"), "val")
-        .otherwise("train")
-    )
-    return src.join(cuts, label).withColumn(out, split).select(*df.columns, out)
+    placed = _first_rows(df.withColumn("_order", order), label, {"test": n_test, "held": n_held})
+    split = F.when(F.col("_first_test"), "test").when(F.col("_first_held"), "val").otherwise("train")
+    return placed.withColumn(out, split).select(*df.columns, out)
 
 
 def stratified_sample(df: DataFrame, label: str, order: Column, n: int, ratio: int = 5) -> DataFrame:
     """Up to ``n`` rows of class 0 and ``n // ratio`` of every other class."""
     size = F.when(F.col(label) == 0, F.lit(n)).otherwise(F.lit(n // ratio))
-    src = df.withColumn("_order", order)
-    cuts = _class_cuts(src, label, "_order", {"_cut": lambda cnt: F.least(size, cnt) - 1})
-    return src.join(cuts, label).where("_order <= _cut").select(*df.columns)
+    placed = _first_rows(df.withColumn("_order", order), label, {"cut": lambda _: size})
+    return placed.where("_first_cut").select(*df.columns)
 
 
 def uniform_sample(df: DataFrame, order: Column, n: int) -> DataFrame:
-    """``n`` rows (all, if fewer) in shuffling order."""
+    """``n`` rows (all, if fewer) in shuffling order; rows that tie at the end are taken in the order of a hash."""
     src = df.withColumn("_order", order)
-    cut = fitted_row(order_statistics(src, "_order", {"cut": lambda cnt: F.least(F.lit(n), cnt) - 1}))
-    return src.where(F.col("_order") <= number(cut["cut"] if cut else None)).drop("_order")
+    found = fitted_row(order_statistics(src, "_order", {"cut": lambda cnt: F.least(F.lit(n), cnt) - 1}))
+    cut = number(found["cut"] if found else None)
+    below = src.where(F.col("_order") < cut)
+    ties = src.where(F.col("_order") == cut).orderBy(F.xxhash64(*[F.col(c) for c in df.columns]))
+    return below.union(ties.limit(max(0, n - below.count()))).drop("_order")
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:

@@ -67,10 +67,10 @@ def percentile_label(df: DataFrame, score: str, share: float = 0.74, out: str =
 
 
 def label_histogram(df: DataFrame, col: str, label: str, bins: int = 60) -> DataFrame:
-    """(label, bin, n) over equal-width bins of the whole range."""
+    """(label, bin, n) over equal-width bins of the whole range; a constant column is all in bin 0."""
     s = fitted_row(df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")))
-    step = F.floor((F.col(col) - number(s["lo"])) / (number(s["hi"]) - number(s["lo"])) * bins)
-    bin_no = F.coalesce(F.least(step, F.lit(bins - 1)), F.lit(0)).cast("int")
+    step = F.floor(F.try_divide(F.col(col) - number(s["lo"]), number(s["hi"]) - number(s["lo"])) * bins)
+    bin_no = F.least(F.coalesce(step, F.lit(0)), F.lit(bins - 1)).cast("int")
     return (
         df.where(F.col(col).isNotNull())
         .groupBy(F.col(label).alias("label"), bin_no.alias("bin"))
@@ -92,8 +92,9 @@ def load_summary(df: DataFrame, name: str, label: Column) -> DataFrame:
 
 
 def importance_share(df: DataFrame, value: str, out: str = "pct_of_max") -> DataFrame:
+    """Percent of the largest value; null if that is 0."""
     top = fitted_row(df.agg(F.max(value).alias("top")))["top"]
-    return df.withColumn(out, F.col(value) / number(top) * 100)
+    return df.withColumn(out, F.try_divide(F.col(value), number(top)) * 100)
 
 
 def topk(df: DataFrame, value: str, k: int, *ties: str) -> DataFrame:

@@ -108,14 +108,18 @@ def iforest_score(spark: SparkSession, folder: str) -> DataFrame:
     return anomaly.isolation_score(scaled, model, LI_FEATURES).select("row_id", "split", r("if_score", 6))
 
 
+# Fixed value: length of the vectors in the embeddings table.
+EMBEDDING_SIZE = 64
+
+
 def _ensemble(spark: SparkSession, folder: str) -> DataFrame:
     """Embeddings scored by both detectors; the limits come from the known classes."""
     e = table(spark, folder, "embeddings")
-    dims = [f"d{i}" for i in range(8)]
+    dims = [f"d{i}" for i in range(EMBEDDING_SIZE)]
     rows = e.select(
         F.col("vec_id").alias("id"),
         "label",
-        F.transform(F.slice("embedding", 1, 8), lambda x: x.cast("double")).alias("vec"),
+        F.col("embedding").cast("array<double>").alias("vec"),
         *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(dims)],
     )
     known = rows.where("label < 7")
@@ -247,6 +251,6 @@ def attribution_sampled(spark: SparkSession, folder: str) -> DataFrame:
     c = durable(views.customers(spark, folder))
     features = ["contract_type", "tenure_months", "monthly_charges", "anomaly_count_30d", "wifi_breach_count_30d"]
     local = churn.sampled_attribution(
-        c, c, features, "customer_id", lambda d: d.withColumn("s", rules.fallback_risk_score()), "s", 8
+        c, c, features, "customer_id", lambda d: d.withColumn("s", rules.fallback_risk_score()), "s", 8, background_rows=8
     )
     return local.select("customer_id", "feature", r("attribution", 6))

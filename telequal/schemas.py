@@ -49,8 +49,24 @@ MODEM_FEATURES = [
     "us_ds_power_delta",
     "channel_util_peak_hour_flag",
 ]
-MODEM_SIGNALS = [*MODEM_FEATURES[:6], "us_ds_power_delta"]
-MODEM_CAPPED = [*MODEM_FEATURES[:4], *MODEM_FEATURES[6:9]]
+MODEM_SIGNALS = [
+    "ds_power_level_dbmv",
+    "us_power_level_dbmv",
+    "ds_snr_db",
+    "us_mer_db",
+    "ds_channel_utilization_pct",
+    "us_channel_utilization_pct",
+    "us_ds_power_delta",
+]
+MODEM_CAPPED = [
+    "ds_power_level_dbmv",
+    "us_power_level_dbmv",
+    "ds_snr_db",
+    "us_mer_db",
+    "ds_power_rolling_std_1h",
+    "snr_drop_rate_per_hour",
+    "us_ds_power_delta",
+]
 
 WIFI_SCHEMA = _schema(
     timestamp=_TS,

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest row count that may be sent to every executor.
+# Most rows, and bytes of their files, that may be sent to every executor.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -19,11 +21,13 @@ def shuffle_width(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) is a temporary folder set.
+    Only in a session of one process (``local``, as in tests) is a temporary folder set where none is named.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="telequal-")
         sc.setCheckpointDir(folder)
     return folder
@@ -55,12 +59,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast copy of ``df`` if it has at most ``max_rows`` rows, else ``df`` for an ordinary join.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` for a broadcast join if it has few rows and bytes, else for an ordinary join.
 
-    The rows that the check reads are kept, so a small frame is computed once.
+    It is computed once, into a written table whose size is then known.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))
+    kept = durable(df)
+    size = int(kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > max_bytes or kept.count() > max_rows:
+        return kept
+    return F.broadcast(kept)
