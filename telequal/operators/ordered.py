@@ -21,16 +21,25 @@ from telequal.session import broadcast_if_small, shuffle_width
 BUCKET = "_bucket"
 # Buckets when only a few are read on: the finer, the less is left to shuffle.
 SELECT_BUCKETS = 256
+# Bytes of a frame per bucket, and the most buckets that one sketch places.
+BUCKET_BYTES = 64 << 20
+MOST_BUCKETS = 20_000
 # Share of the rows that the quantile sketch looks at to place cut points.
 SKETCH_SHARE = 0.2
 
 
+def buckets_for(df: DataFrame) -> int:
+    """Buckets for a column of ``df``: as many as tasks, more where the planner expects more data."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(shuffle_width(df.sparkSession), min(MOST_BUCKETS, size // BUCKET_BYTES))
+
+
 def range_splits(df: DataFrame, value: str, n: int | None = None) -> list[float]:
     """Cut points of ``value`` into about ``n`` buckets of equal row count (one sketch job).
 
     A share of the rows is enough: cut points only balance the work, any cut points give exact results.
     """
-    n = n or shuffle_width(df.sparkSession)
+    n = n or buckets_for(df)
     probs = [i / n for i in range(1, n)]
     sketch = F.percentile_approx(F.col(value).cast("double"), probs, 10 * n)
     cuts = df.sample(SKETCH_SHARE, seed=42).select(sketch.alias("cuts")).first().cuts or [0.0]
@@ -92,7 +101,7 @@ def order_statistics(
     broadcast only after their number is checked.
     """
     src = df.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
-    n = n or max(SELECT_BUCKETS, shuffle_width(df.sparkSession))
+    n = n or max(SELECT_BUCKETS, buckets_for(src))
     src = with_bucket(src, "_v", range_splits(src, "_v", n))
     every = Window.partitionBy(*keys)
     before = every.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)

@@ -67,6 +67,12 @@ def detect(df: DataFrame, d: Detector, threshold: float | None = None) -> DataFr
     )
 
 
+def tune_detector(validation: DataFrame, d: Detector, label: str) -> float:
+    """The ensemble threshold of best F1 on labelled validation rows (never on test rows)."""
+    scored = durable(detect(validation, d).select(label, "ensemble"))
+    return float(evaluate.best_f1_threshold(evaluate.pr_curve(scored, label, "ensemble")).first()["threshold"])
+
+
 def evaluate_detector(scored: DataFrame, label: str, threshold: float) -> DataFrame:
     """One row: auc, precision, recall, f1, confusion counts and the threshold."""
     scored = durable(scored.select(label, "ensemble"))

@@ -7,14 +7,14 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from telequal.operators import anomaly, churn, split
-from telequal.plans import train, views
+from telequal.plans import store, train, views
 from telequal.session import clear_scratch, durable, scratch_path
 from telequal.sources import sinks
 
 DIR = "/root/testdata/sf0.001"
 
 
-def test_detector_run(spark):
+def test_detector_run(spark, tmp_path):
     rng = np.random.default_rng(11)
     x = np.vstack([rng.normal(size=(380, 3)), rng.uniform(-9, 9, size=(20, 3))])
     order = rng.permutation(400)
@@ -32,18 +32,28 @@ def test_detector_run(spark):
     alone = train.detect(test.limit(1), d, threshold).first()
     again = scored.where(F.col("k") == alone.k).first()
     assert abs(alone.ensemble - again.ensemble) < 1e-12  # a single row scores as it does in a batch
+    tuned = train.tune_detector(fit_rows, d, "y")
+    store.save_detector(d, str(tmp_path / "d"), tuned)
+    loaded, kept = store.load_detector(spark.newSession(), str(tmp_path / "d"))
+    assert kept == tuned
+    both = train.detect(test, loaded).select("k", F.col("ensemble").alias("e")).join(scored, "k")
+    assert both.where("abs(e - ensemble) < 1e-12").count() == test.count()
+    store.write_detector_outputs(scored, train.evaluate_detector(scored, "y", threshold), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "predictions")).count() == test.count()
 
 
-def test_panel_run(spark):
+def test_panel_run(spark, tmp_path):
     run = train.forecast_panel(views.tele(spark, "/root/testdata/sf0.01"), "kind", "ts", "signal")
     assert run.fit.count() == 5
     better = run.errors.join(run.naive_errors.select("series", F.col("rmse").alias("naive")), "series")
     assert better.where("rmse < naive").count() == 5
     assert run.stationarity.where("is_stationary").count() == 5
     assert run.residuals.count() == 5
+    store.save_forecast(run, str(tmp_path / "f"))
+    assert store.load_forecast(spark, str(tmp_path / "f")).fit.count() == 5
 
 
-def test_churn_run_and_explanation(spark):
+def test_churn_run_and_explanation(spark, tmp_path):
     parts = durable(split.stratified_split(views.crm(spark, DIR), "churn", split.mix(F.col("customer_id"))))
     run = train.train_churn(parts, "logistic", 30)
     got = {r.metric: r.value for r in run.metrics.collect()}
@@ -56,6 +66,13 @@ def test_churn_run_and_explanation(spark):
     )
     base = gap.select((F.col("churn_prob") - F.col("t")).alias("g")).toPandas()["g"]
     assert np.allclose(base, base.iloc[0], atol=1e-9)
+    store.save_churn(run, str(tmp_path / "c"))
+    model, threshold = store.load_churn(spark.newSession(), str(tmp_path / "c"))
+    assert threshold == run.threshold
+    again = churn.churn_probability(run.predictions.drop("churn_prob"), model, "p").select("customer_id", "p")
+    assert again.join(run.predictions, "customer_id").where("abs(p - churn_prob) > 1e-12").count() == 0
+    store.write_churn_outputs(run, str(tmp_path / "out"), shares)
+    assert spark.read.parquet(str(tmp_path / "out" / "importance")).count() == 12
 
 
 def test_records_keep_missing_values(spark):
