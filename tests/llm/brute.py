@@ -70,20 +70,28 @@ def cut(t: bytes, gone: list[bool]) -> tuple[int, int, str]:
     return sum(gone), spans, hashlib.sha256(bytes(b for b, g in zip(t, gone) if not g)).hexdigest()
 
 
-def benchmark_hits(t: str | None, items: list[tuple[str, str]], window: int) -> tuple[int, int, set, int]:
-    w, hit, found, longest = alnum(t), set(), set(), 0
+def benchmark_windows(items: list[tuple[str, str]], window: int) -> dict[tuple, list]:
+    """Each window with where it stands: the item's name, its words and the place in them."""
+    out = defaultdict(list)
     for name, item in items:
         b = alnum(item)
         n = min(window, len(b))
         for i in range(max(0, len(b) - n + 1) if b else 0):
-            for k in range(len(w) - n + 1):
-                if w[k : k + n] == b[i : i + n]:
-                    found.add(name)
-                    hit.update(range(k, k + n))
-                    m = n
-                    while k + m < len(w) and i + m < len(b) and w[k + m] == b[i + m]:
-                        m += 1
-                    longest = max(longest, m)
+            out[tuple(b[i : i + n])].append((name, b, i))
+    return out
+
+
+def benchmark_hits(t: str | None, windows: dict[tuple, list]) -> tuple[int, int, set, int]:
+    w, hit, found, longest = alnum(t), set(), set(), 0
+    for n in {len(k) for k in windows}:
+        for k in range(len(w) - n + 1):
+            for name, b, i in windows.get(tuple(w[k : k + n]), ()):
+                found.add(name)
+                hit.update(range(k, k + n))
+                m = n
+                while k + m < len(w) and i + m < len(b) and w[k + m] == b[i + m]:
+                    m += 1
+                longest = max(longest, m)
     return len(w), len(hit), found, longest
 
 

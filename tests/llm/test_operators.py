@@ -78,10 +78,10 @@ def test_benchmark_matches(spark, docs, texts, block_bytes):
     bench = spark.read.parquet(f"{DIR}/benchmark.parquet").union(
         spark.createDataFrame([(9000, "the of and"), (9001, "the"), (9002, ""), (9003, None)], "item_id long, text string")
     )
-    items = [(str(r["item_id"]), r["text"]) for r in bench.collect()]
+    windows = brute.benchmark_windows([(str(r["item_id"]), r["text"]) for r in bench.collect()], 10)
     got = by_id(decontaminate.search(docs, bench, 10, block_bytes).withColumn("n_hit", decontaminate.hit_words()))
     for i, t in texts.items():
-        assert (got[i]["n_words"], got[i]["n_hit"], set(got[i]["items"]), got[i]["longest"]) == brute.benchmark_hits(t, items, 10)
+        assert (got[i]["n_words"], got[i]["n_hit"], set(got[i]["items"]), got[i]["longest"]) == brute.benchmark_hits(t, windows)
 
 
 def test_quality_counts_and_verdicts(docs, labels, texts):
@@ -120,6 +120,8 @@ def test_language_model_estimates_by_hand(spark, monkeypatch):
 
     monkeypatch.setattr(lm.Model, "learn", spy)
     monkeypatch.setattr(lm, "PAIRS", 4)
+    monkeypatch.setattr(lm, "WORDS", 5)
+    monkeypatch.setattr(lm, "OWNED", 40)
     texts = {i: " ".join(f"w{(i * k * k + k) % 7}" for k in range(1, 30)) for i in range(20)}
     got = by_id(lm.scored(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
     model = kept["model"]
@@ -127,13 +129,19 @@ def test_language_model_estimates_by_hand(spark, monkeypatch):
     from collections import Counter
     from math import log10
 
+    def hashed(ws):
+        block = lm.tx.Block(None, [" ".join(ws).encode()])
+        return lm.np.array([lm.END]) if ws == ["end"] else block.hashes(*block.words(lm.tx.SPACED)[:2])
+
     uni = Counter(w for x in words.values() for w in x)
     bi = Counter(p for x in words.values() for p in zip(["end", *x], x))
     for i, x in words.items():
         total = 0.0
         for v, w in zip(["end", *x], x):
-            a, u, z = model.weights[int(lm.bucket(lm.np.array([uni[v]]))[0])]
-            total += log10(a * bi[v, w] / uni[v] + u * uni[w] / sum(uni.values()) + z / (len(uni) + 1))
+            known = int(lm._look_up(*model.words, hashed([v]))[0])  # 0 outside the table of frequent words
+            a, u, z = model.weights[int(lm.bucket(lm.np.array([known]))[0])]
+            two = bi[v, w] / uni[v] if known else 0.0
+            total += log10(a * two + u * uni[w] / sum(uni.values()) + z / (len(uni) + 1))
         assert got[i]["score"] == pytest.approx(total, rel=1e-9)
 
 
