@@ -27,7 +27,7 @@ DOMAINS = ("poor, clean", "poor, toxic", "good, clean", "good, toxic")
 TARGETS = (0.05, 0.005, 0.93, 0.015)
 BINS = 1 << 13
 LABELLED_ROWS = 20_000
-SHARPNESS = 15.0
+SHARPNESS = 60.0
 MOST_STEPS = 30
 TOLERANCE = 1e-4
 PULL = 0.01
