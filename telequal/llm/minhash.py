@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from telequal.llm import text as tx
 from telequal.llm.components import components
-from telequal.session import durable
+from telequal.session import broadcast_if_small, durable
 
 REGISTERS = 512
 _BUCKET_BITS = 9
@@ -35,6 +35,8 @@ MISS = 1e-7
 LARGE_KEY = 24
 WIDE_BANDS = 320
 WIDE_MATCH = 0.07
+#: Most ids sent to a scan.
+MOST_SENT = 1_000_000
 
 
 def bands_for(similarity: float) -> tuple[int, int]:
@@ -96,6 +98,22 @@ def registers(gram: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return out.reshape(n, REGISTERS)
 
 
+def densified(regs: np.ndarray) -> np.ndarray:
+    """Sketches with every empty register filled from a register that fixed random maps lead to.
+
+    A short text fills few registers, so a band of raw ones could be a single shingle; of these, each register still
+    agrees with the probability of the Jaccard similarity, and a band always speaks for several shingles."""
+    out, draw = regs.copy(), np.random.default_rng(0)
+    for _ in range(64):
+        there = draw.integers(0, REGISTERS, REGISTERS)
+        empty = out == 0
+        if not empty.any():
+            return out
+        out = np.where(empty, regs[:, there], out)
+    first = np.maximum.accumulate(np.where(regs != 0, np.arange(REGISTERS), 0), axis=1)
+    return np.where(out == 0, np.where((f := np.take_along_axis(regs, first, 1)) != 0, f, regs.max(axis=1)[:, None]), out)
+
+
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Jaccard estimate of sketch pairs, less the expected chance collisions, and the buckets it rests on."""
     used = (a != 0) | (b != 0)
@@ -138,7 +156,7 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _band_keys(rows: DataFrame, registers_of: np.ndarray) -> DataFrame:
-    """A row (``key``, ``id``) per band that has a filled register."""
+    """A row (``key``, ``id``) per band."""
 
     def run(batches):
         bands, width = registers_of.shape
@@ -146,16 +164,13 @@ def _band_keys(rows: DataFrame, registers_of: np.ndarray) -> DataFrame:
             for a in range(0, len(whole), 512):
                 batch = whole.slice(a, 512)
                 m = len(batch)
-                regs = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(m, REGISTERS)
+                regs = densified(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(m, REGISTERS))
                 key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(width), (m, bands)).copy()
-                filled = np.zeros((m, bands), bool)
                 for j in range(width):
-                    one = regs[:, registers_of[:, j]]
-                    filled |= one != 0
-                    key = tx.mix(key * np.uint64(0xD6E8FEB86659FD93) + one)
-                r, c = np.nonzero(filled)
+                    key = tx.mix(key * np.uint64(0xD6E8FEB86659FD93) + regs[:, registers_of[:, j]])
+                row = pa.array(np.repeat(np.arange(m), bands))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[r, c].view(np.int64)), batch.column("id").take(pa.array(r))], names=["key", "id"]
+                    [pa.array(key.ravel().view(np.int64)), batch.column("id").take(row)], names=["key", "id"]
                 )
 
     return rows.mapInArrow(run, "key long, id long")
@@ -196,8 +211,11 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: fl
                 yield batch.select(["a", "b"]).filter(pa.array((100 * both >= percent * (size - both)) & (both > 0)))
 
     side = lambda s: reps.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
-    text = lambda s: docs.select(F.col("doc_id").cast("long").alias(s), F.col("text").alias(f"text_{s}"))
     likely = durable(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(sift, "a long, b long"))
+    # Only texts of likely pairs go on: their ids are sent to the scan if they are few, else the texts meet them in one join.
+    ids = broadcast_if_small(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), MOST_SENT)
+    wanted = durable(docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi"))
+    text = lambda s: wanted.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}"))
     found = likely.join(text("a"), "a").join(text("b"), "b").mapInArrow(exact, "a long, b long")
     return durable(found.distinct())
 
@@ -226,7 +244,8 @@ def classes(docs: DataFrame, width: int = 3, similarity: float = 0.85) -> DataFr
     )
     reps = durable(
         full.join(groups, ["k1", "k2", "n_shingles"]).where("doc_id = id")
-        .select("id", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["id"])
+        .select("id", F.col("n_shingles").alias("n"), "sketch")
+        .where(F.col("n") >= int(similarity / (1 - similarity)))  # a smaller set is similar to itself only
     )
     among, links = reps, None
     for wide in (False, True):
