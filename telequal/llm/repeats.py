@@ -29,7 +29,8 @@ from telequal.session import durable
 
 LENGTH = 400
 GRAM = 32
-LARGE_GROUP = 512
+#: Classes of one anchor that are sorted in one task, about 3 MB of text.
+LARGE_GROUP = 4096
 _SORT_BYTES = 1 << 20
 SEGMENT = ["anchor", "seg", "off", "n"]
 
@@ -80,22 +81,20 @@ def prefix_ranks(data: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
     """(width, rank of every position by that many bytes), doubling up to ``length``; past the end stand zeros."""
     n, pad = len(data), np.zeros(2 * length + 8, np.uint64)
     value = np.concatenate((data.astype(np.uint64), pad))
-    out = [(1, value)]
+    out = [(1, value.astype(np.uint32))]
     for width in (1, 2, 4):
         value = (value[: len(value) - width] << np.uint64(8 * width)) | value[width:]
-        if 2 * width < length:
-            out.append((2 * width, value))
+        if width < 4 and 2 * width < length:
+            out.append((2 * width, value.astype(np.uint32)))
     width, key = 8, value[:n]
     while True:
         _, dense = np.unique(key, return_inverse=True)
-        rank = np.concatenate((dense.astype(np.uint64) + np.uint64(1), pad))
+        rank = np.concatenate((dense.astype(np.uint32) + np.uint32(1), pad.astype(np.uint32)))
         if width >= length:
             return [*[x for x in out if x[0] < length], (length, rank)]
-        if out[-1][0] == width:
-            out.pop()
         out.append((width, rank))
         step = min(width, length - width)
-        key = rank[:n] * np.uint64(n + 2) + rank[step : step + n]
+        key = rank[:n].astype(np.uint64) * np.uint64(n + 2) + rank[step : step + n]
         width += step
 
 
