@@ -1,14 +1,15 @@
 """Mixing sources to target weights by soft membership, in built-in functions only.
 
 A classifier learned from the labelled table gives every document a posterior over domains.  A document that is
-used at rate r adds r * tokens * posterior to the domains' expected token totals.  The rates are the nonnegative
-least-squares solution that brings these totals to target * corpus tokens, found by projected gradient steps:
-each step is one distributed sum over a narrow table, and a document's rate follows from its posterior and the
-short list of steps.
-
-The residual is measured in the inverse of the domains' token cross-moments (with a ridge), which makes all domains
-converge alike, and a small pull towards rate 1 keeps rates moderate where a target is out of reach.  Domains with
-less than ``LEAST_SHARE`` of the tokens cannot be raised by rates; their targets go to the others in proportion.
+used at rate r adds r * tokens * posterior to the domains' expected token totals.  The rates are the least-squares
+solution, with a lower bound, that brings these totals to target * corpus tokens.  It is the projection of
+1 - posterior . multipliers to the bound; the multipliers, one per domain, are found by damped Newton steps on the
+convex dual problem: each step is one distributed sum over a narrow table.
+
+The residual is measured in the inverse of the domains' token cross-moments (with a ridge), and a very small pull
+towards rate 1 keeps rates finite where a target is out of reach.  The bound is positive, so that a clean document which
+looks toxic is thinned out but not lost; it never uses more than half of a target.  Domains with less than
+``LEAST_SHARE`` of the tokens cannot be raised by rates; their targets go to the others in proportion.
 """
 
 from __future__ import annotations
@@ -28,13 +29,14 @@ TARGETS = (0.05, 0.005, 0.93, 0.015)
 BINS = 1 << 13
 LABELLED_ROWS = 20_000
 SHARPNESS = 60.0
-MOST_STEPS = 30
-TOLERANCE = 1e-4
-PULL = 0.01
+MOST_STEPS = 40
+#: What may be left of the gradient, as a share of the smallest target.
+TOLERANCE = 1e-6
+PULL = 1e-5
 RIDGE = 0.02
 LEAST_SHARE = 1e-3
-#: Steps after which the rates so far are written, to keep plans short.
-WRITE_EVERY = 5
+#: Lower bound of rates, and the share of any target that documents at the bound may use.
+LEAST_RATE, BOUND_SHARE = 0.05, 0.5
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, bins: int = BINS, rows: int = LABELLED_ROWS):
@@ -81,75 +83,84 @@ def posteriors(docs: DataFrame, model, sharpness: float = SHARPNESS) -> DataFram
     return out.withColumn("posterior", F.transform("_odds", lambda x: x / total)).drop("_words", "_bins", "_logits", "_odds")
 
 
-def _stepped(rate: Column, posterior: Column, step: Column) -> Column:
-    """One projected step of a rate: against the gradient of the residual and of the pull to 1."""
-    dot = F.aggregate(F.zip_with(posterior, step, lambda p, g: p * g), F.lit(0.0), lambda s, x: s + x)
-    return F.greatest(F.lit(0.0), rate - (dot + PULL * (rate - 1.0)) / (1 + PULL))
+def _plain(multipliers) -> Column:
+    """1 - posterior . multipliers, the rate before it is projected to the bound."""
+    out = F.lit(1.0)
+    for d, x in enumerate(multipliers):
+        out = out - F.get("posterior", F.lit(d)) * F.lit(float(x))
+    return out
 
 
-def _constants(values: list[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
-def rate_of(steps: list[list[float]]) -> Column:
-    """A document's rate after these steps from rate 1."""
-    if not steps:
-        return F.lit(1.0)
-    return F.aggregate(
-        F.array(*map(_constants, steps)), F.lit(1.0), lambda r, g: _stepped(r, F.col("posterior"), g)
-    )
+def rate_of(fitted: tuple[float, list[float]] | None) -> Column:
+    """A document's rate by the bound and the multipliers of ``fit_rates``; 1 without any."""
+    return F.lit(1.0) if fitted is None else F.greatest(F.lit(fitted[0]), _plain(fitted[1]))
 
 
 def fit_rates(members: DataFrame, targets=TARGETS, most_steps: int = MOST_STEPS, tolerance: float = TOLERANCE):
-    """Projected-gradient steps for ``members`` (``tokens``, ``posterior``); none if there are no tokens."""
+    """(bound, multipliers) for ``members`` (``tokens``, ``posterior``); None if there are no tokens."""
     k = len(targets)
     p = [F.get("posterior", F.lit(d)) for d in range(k)]
     t = F.col("tokens").cast("double")
-    first = members.agg(
-        F.sum(t).alias("total"),
-        *[F.sum(t * x).alias(f"d{i}") for i, x in enumerate(p)],
-        *[F.sum(t * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)],
-    ).first()
-    steps: list[list[float]] = []
-    if not first["total"]:
-        return steps
+
+    def moments(weight: Column) -> list[Column]:
+        return [F.sum(weight * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]
+
+    def square(row) -> np.ndarray:
+        return np.array([[row[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / total
+
+    first = members.agg(F.sum(t).alias("total"), *[F.sum(t * x).alias(f"d{i}") for i, x in enumerate(p)], *moments(t)).first()
     total = first["total"]
+    if not total:
+        return None
     share = np.array([first[f"d{i}"] for i in range(k)]) / total
-    cross = np.array([[first[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / total
-    metric = np.linalg.inv(cross + RIDGE * np.eye(k))
+    metric = PULL * (square(first) + RIDGE * np.eye(k))
     present = share >= LEAST_SHARE
     goal = np.where(present, np.asarray(targets, float), 0.0)
     goal = np.where(present, goal / max(goal.sum(), 1e-12) * (1 - share[~present].sum()), share)
-    state, pending = members.withColumn("rate", F.lit(1.0)), 0
-    gap = share - goal
-    while len(steps) < most_steps and np.abs(gap).max() > tolerance:
-        steps.append([float(f"{g:.12g}") for g in metric @ gap])
-        state = state.withColumn("rate", _stepped(F.col("rate"), F.col("posterior"), _constants(steps[-1])))
-        pending += 1
-        if pending == WRITE_EVERY:
-            state, pending = durable(state), 0
-        now = state.agg(*[F.sum(F.col("rate") * t * x).alias(f"d{i}") for i, x in enumerate(p)]).first()
-        before, gap = gap, np.array([now[f"d{i}"] for i in range(k)]) / total - goal
-        if np.abs(gap - before).max() <= tolerance / 100:
-            break  # what is left cannot be reached
-    return steps
+    bound = min(LEAST_RATE, BOUND_SHARE * float((goal[present] / share[present]).min()))
+
+    def judged(at: np.ndarray):
+        """Value of the dual problem, its descent direction, and its curvature, by one sum over the members."""
+        z, low = _plain(at), F.lit(bound)
+        row = members.agg(
+            F.sum(t * F.when(z > low, z * z / 2).otherwise(low * z - low * low / 2)).alias("value"),
+            *[F.sum(t * F.greatest(low, z) * x).alias(f"d{i}") for i, x in enumerate(p)],
+            *moments(F.when(z > low, t).otherwise(0.0)),
+        ).first()
+        used = np.array([row[f"d{i}"] for i in range(k)]) / total
+        return row["value"] / total + goal @ at + at @ metric @ at / 2, used - goal - metric @ at, square(row) + metric
+
+    wanted = tolerance * goal[goal > 0].min()
+    at, (value, slope, curve) = np.zeros(k), judged(np.zeros(k))
+    for _ in range(most_steps):
+        if np.abs(slope).max() <= wanted:
+            break
+        step = np.linalg.solve(curve, slope)
+        fall = slope @ step
+        while True:
+            after = judged(at + step)
+            if after[0] <= value - 0.1 * fall or fall <= 1e-14:
+                break
+            step, fall = step / 2, fall / 2
+        at, (value, slope, curve) = at + step, after
+    return bound, [float(f"{x:.12g}") for x in at]
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets=TARGETS, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``tokens``, ``rate`` and ``copies`` (the rate rounded by a hash of the id, so that copies sum to
-    rates on average); documents of rate 0 are left out, as none of their tokens are wanted.
+    rates on average).  Every row is returned with its rate; a rate is 0 only if a target is 0.
 
     A null or empty text has no tokens and keeps the rate of its posterior.  Repeated rows have equal rates.  If no
-    target can be met (empty table, no labels) all rates are what the steps reach, 1 without any.  Columns of
+    target can be met (empty table, no labels) all rates are what the fit reaches, 1 without any tokens.  Columns of
     ``docs`` named like the added ones are replaced.
     """
     own = {c: f"_own{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     base = docs.withColumnsRenamed(own)
     scored = posteriors(base, fit_domains(docs, labels))
     members = durable(scored if keep_text else scored.drop("text"))
-    steps = fit_rates(members.select("tokens", "posterior"), targets)
+    fitted = fit_rates(members.select("tokens", "posterior"), targets)
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
-    out = members.withColumn("rate", rate_of(steps)).where("rate > 0")
+    out = members.withColumn("rate", rate_of(fitted))
     out = out.withColumn("copies", F.floor(F.col("rate") + draw).cast("long"))
     kept = [c for c in docs.columns if c not in ("tokens", "rate", "copies") and (keep_text or c != "text")]
     return out.select(*[F.col(own.get(c, c)).alias(c) for c in kept], "tokens", "posterior", "rate", "copies")

@@ -196,6 +196,23 @@ def test_mixing_steps_equal_a_plain_solver(spark):
     assert np.abs((got * t) @ post - (rate * t) @ post).max() < 0.01
 
 
+def test_mixing_keeps_clean_documents_and_meets_each_target(docs, labels):
+    """Every document has its row, labelled clean ones a positive rate, and small targets are met relative to their size."""
+    got = mixing.mixed(docs, labels, keep_text=False).collect()
+    assert len(got) == docs.count()
+    clean = {r["doc_id"] for r in labels.where("toxic = 0").collect()}
+    assert clean & {x["doc_id"] for x in got} and all(x["rate"] > 0 for x in got if x["doc_id"] in clean)
+    total = sum(x["tokens"] for x in got)
+    sums = [sum(x["rate"] * x["tokens"] * x["posterior"][d] for x in got) / total for d in range(4)]
+    assert sums == pytest.approx(mixing.TARGETS, rel=0.03)
+
+
+def test_mixing_returns_documents_of_rate_0(docs, labels):
+    """Without any wish for a domain its documents get rate 0, and a row all the same."""
+    got = mixing.mixed(docs, labels, targets=(0.05, 0.0, 0.95, 0.0), keep_text=False).collect()
+    assert len(got) == docs.count() and min(x["rate"] for x in got) == 0
+
+
 def test_page_text(spark):
     pages = spark.read.parquet(f"{DIR}/pages.parquet")
     import html as entities
