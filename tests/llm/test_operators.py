@@ -168,6 +168,25 @@ def test_disguised_words_are_restored(written):
     assert {"idiot", "stupid"} & toxicity.Restorer(model).words(written)
 
 
+@pytest.mark.parametrize(
+    "written",
+    ["w i t h t h i s t h a t n a t i o n i d i o t s t a t i o n t h e r e", "y o u i d i o t", "t h e 1 d 1 0 t t h a t", "t h a t  i d d i o o t  x q", "a  i d i o t", "idiiot"],
+)
+def test_spaced_runs_of_any_length_are_split_into_words(written):
+    known = "idiot stupid the and with this that nation station there their other you".split()
+    pairs = {}
+    for w in known * 20:
+        for a, b in zip(f" {w}", f"{w} "):
+            pairs[a + b] = pairs.get(a + b, 0) + 1
+    assert "idiot" in toxicity.Restorer(toxicity.CharModel(pairs, known)).words(written)
+
+
+def test_spaced_run_of_unknown_letters_is_linear_in_its_length():
+    model = toxicity.CharModel({"ab": 3, " a": 3, "b ": 3}, ["idiot"])
+    text = "x q " * 20_000 + "i d i o t " + "z v " * 20_000
+    assert "idiot" in toxicity.Restorer(model).words(text)
+
+
 def test_mixing_meets_targets(spark, docs, labels):
     got = mixing.mixed(docs, labels).collect()
     total = docs.select(F.sum(F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")))).first()[0]
