@@ -324,3 +324,21 @@ def test_license_templates(spark):
     assert {"copyright", "reserved"} <= names[4]
     assert "bsd" in names[5] and "bsd" not in names[7]
     assert {"cc-by", "cc-by-nc"} <= names[6]
+
+
+def test_license_regions_of_any_length_and_whole_wording(spark):
+    years = " ".join(str(y) for y in range(1980, 2000))
+    plain = lambda t: t.replace("[[", "").replace("]]", "").replace("{{holder}}", "the regents of the university of california and others")
+    two, three = plain(licenses.TEMPLATES["bsd-2-clause"][0]), plain(licenses.TEMPLATES["bsd-3-clause"][0])
+    mit, isc = plain(licenses.TEMPLATES["mit"][2]), plain(licenses.TEMPLATES["isc"][0])
+    texts = {
+        1: f"Copyright (c) {years} The Regents of the University of California. All rights reserved.", 2: two, 3: three,
+        4: mit.replace("without warranty", "with warranty"), 5: three.replace("are disclaimed", "are granted"), 6: isc[:-40], 7: isc,
+        8: "copyright all rights " * 5_000 + "all rights reserved", 9: "copyright nobody " * 20_000,
+    }
+    got = by_id(licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
+    names = {i: {p["label"] for p in x["places"]} for i, x in got.items()}
+    assert names[1] == {"copyright", "reserved"} and names[2] == {"bsd-2-clause"} and names[3] == {"bsd-3-clause"}
+    assert names[4] == names[5] == names[6] == names[9] == set() and names[7] == {"isc"}
+    ends = [(p["start"], p["end"]) for p in got[8]["places"] if p["label"] == "copyright"]
+    assert ends == [(3 * k, 15_003) for k in range(5_000)]
