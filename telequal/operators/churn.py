@@ -214,46 +214,40 @@ def sampled_attribution(
     Along each order the features switch one by one from a background row to the explained row; a
     feature's share is the mean change of the score at its switch.  Shares sum to the row's score minus
     the mean score of the background rows.  Every order is walked from each of ``background_rows`` rows of
-    ``background`` in turn: as many walks as the larger of the two numbers, so that both are used in full.
+    ``background``.  Orders share the sets of features that they have switched, so each set is scored once per
+    background row, with the weight that it has in all walks.  A row with a missing score on its walks has null shares.
     """
     spark = df.sparkSession
     rng = np.random.default_rng(seed)
     base = uniform_sample(background, hashed(*background.columns, seed=seed), background_rows)
     base = base.select(*features).collect()  # uniform_sample gives background_rows rows at most
-    distinct = [rng.permutation(len(features)).tolist() for _ in range(permutations)]
-    permutations = max(permutations, len(base))
-    orders = [distinct[i % len(distinct)] for i in range(permutations)]
+    orders = [rng.permutation(len(features)).tolist() for _ in range(permutations)]
+    # By set of switched features, how often it stands behind and before the switch of each feature.
+    times: dict[frozenset, list[int]] = {}
+    for order in orders:
+        for k, f in enumerate(order):
+            for switched, n in ((frozenset(order[: k + 1]), 1), (frozenset(order[:k]), -1)):
+                times.setdefault(switched, [0] * len(features))[f] += n
     plan = spark.createDataFrame(
-        [(i, o, *base[i % len(base)]) for i, o in enumerate(orders)],
-        T.StructType(
-            [T.StructField("_order", T.IntegerType()), T.StructField("_at", T.ArrayType(T.IntegerType()))]
-            + [T.StructField(f"_b_{f}", df.schema[f].dataType) for f in features]
-        ),
+        [([i in c for i in range(len(features))], [float(n) for n in times[c]]) for c in sorted(times, key=sorted)],
+        "_on array<boolean>, _times array<double>",
     )
-    runs = (
-        df.withColumn("_order", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
-        .join(F.broadcast(plan), "_order")
-        .withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
+    rows = spark.createDataFrame(
+        [tuple(b) for b in base], T.StructType([T.StructField(f"_b_{f}", df.schema[f].dataType) for f in features])
     )
-
-    def mixed(i: int, f: str) -> Column:
-        return F.when(F.col("_at")[i] < F.col("_step"), F.col(f)).otherwise(F.col(f"_b_{f}"))
-
-    hybrids = runs.withColumns({f: mixed(i, f) for i, f in enumerate(features)})
-    path = (
-        scorer(hybrids)
-        .groupBy(key, "_order")
-        .agg(
-            F.first("_at").alias("_at"),
-            F.transform(F.sort_array(F.collect_list(F.struct("_step", F.col(score).alias("v")))), lambda s: s["v"]).alias(
-                "_v"
-            ),
-        )
+    runs = df.crossJoin(F.broadcast(rows)).crossJoin(F.broadcast(plan))
+    hybrids = runs.withColumns({f: F.when(F.col("_on")[i], F.col(f)).otherwise(F.col(f"_b_{f}")) for i, f in enumerate(features)})
+    found = scorer(hybrids).groupBy(key).agg(
+        F.count(score).alias("_scored"),
+        F.count("*").alias("_all"),
+        *[F.sum(F.col(score) * F.col("_times")[i]).alias(f"_s{i}") for i in range(len(features))],
     )
+    # Rows that repeat a key share their mean.
     shares = [
         F.struct(
-            F.lit(f).alias("feature"), (F.col("_v")[F.col("_at")[i] + 1] - F.col("_v")[F.col("_at")[i]]).alias("d")
+            F.lit(f).alias("feature"),
+            F.when(F.col("_scored") == F.col("_all"), F.col(f"_s{i}") * len(times) / (F.col("_all") * len(orders))).alias("attribution"),
         )
         for i, f in enumerate(features)
     ]
-    return path.select(key, F.inline(F.array(*shares))).groupBy(key, "feature").agg(F.avg("d").alias("attribution"))
+    return found.select(key, F.inline(F.array(*shares)))

@@ -251,6 +251,6 @@ def attribution_sampled(spark: SparkSession, folder: str) -> DataFrame:
     c = durable(views.customers(spark, folder))
     features = ["contract_type", "tenure_months", "monthly_charges", "anomaly_count_30d", "wifi_breach_count_30d"]
     local = churn.sampled_attribution(
-        c, c, features, "customer_id", lambda d: d.withColumn("s", rules.fallback_risk_score()), "s", 8, background_rows=8
+        c, c, features, "customer_id", lambda d: d.withColumn("s", rules.fallback_risk_score()), "s"
     )
     return local.select("customer_id", "feature", r("attribution", 6))

@@ -124,6 +124,26 @@ def test_sampled_attribution_sums_to_prediction_minus_baseline(spark):
     assert np.allclose(gaps, gaps.iloc[0])
 
 
+def test_sampled_attribution_walks_every_order_from_every_background_row(spark):
+    rows = [(i, float(i % 7), float(i * i % 11), float(i % 3)) for i in range(12)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double")
+    value = lambda v: min(v[0] * v[1], 20.0) + v[2] * v[0]
+    score = lambda d: d.withColumn("s", F.least(F.col("a") * F.col("b"), F.lit(20.0)) + F.col("c") * F.col("a"))
+    local = churn.sampled_attribution(df, df, ["a", "b", "c"], "id", score, "s", permutations=5, background_rows=12)
+    got = {(r["id"], r["feature"]): r["attribution"] for r in local.collect()}
+    rng = np.random.default_rng(42)
+    orders = [rng.permutation(3).tolist() for _ in range(5)]
+    for i, *x in rows:
+        want = [0.0] * 3
+        for order in orders:
+            for _, *at in rows:
+                for f in order:
+                    before = value(at)
+                    at[f] = x[f]
+                    want[f] += (value(at) - before) / 60
+        assert [got[i, f] for f in "abc"] == pytest.approx(want, abs=1e-9)
+
+
 def _modems(spark):
     rng = np.random.default_rng(8)
     n = 400
