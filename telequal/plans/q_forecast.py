@@ -10,7 +10,7 @@ from telequal.operators.evaluate import forecast_error as error_metrics
 from telequal.operators.panel import measure
 from telequal.plans import views
 from telequal.plans.q_statistics import _confusion
-from telequal.plans.registry import query, r, sql
+from telequal.plans.registry import VIEWS, query, r, sql
 
 
 def _frame(spark: SparkSession, folder: str) -> DataFrame:
@@ -223,3 +223,196 @@ def forecast_sample(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("forecast") < bound, 1).otherwise(0).alias("breach_pred"),
         F.when(F.col("actual") < bound, 1).otherwise(0).alias("breach_actual"),
     )
+
+
+def _recursive(text: str) -> str:
+    return "WITH RECURSIVE" + text[len("WITH") :]
+
+
+def _swept_sql(name: str, moments: str, size: int) -> str:
+    """``moments`` (series, n, m) with columns 0 to size - 2 swept one after the other: a row per step k."""
+    at = lambda i, j: f"m[{i} * {size} + {j} + 1]"
+    d = at("k", "k")
+    i, j = f"(t // {size})", f"(t % {size})"
+    put_in = f"""CASE WHEN {i} = k AND {j} = k THEN 1 / {d} WHEN {i} = k THEN m[t + 1] / {d}
+                      WHEN {j} = k THEN -m[t + 1] / {d} ELSE m[t + 1] - {at(i, 'k')} * {at('k', j)} / {d} END"""
+    leave_out = f"CASE WHEN {i} = k OR {j} = k THEN 0::DOUBLE ELSE m[t + 1] END"
+    return f"""
+        SELECT series, n, 0 AS k, m, m AS m0 FROM {moments}
+        UNION ALL
+        SELECT series, n, k + 1, CASE WHEN {d} > m0[k * {size} + k + 1] * 1e-10::DOUBLE
+                   THEN list_transform(range({size * size}), lambda t: {put_in})
+                   ELSE list_transform(range({size * size}), lambda t: {leave_out}) END, m0
+        FROM {name} WHERE k < {size - 1}"""
+
+
+def _moments_sql(source: str, columns: list[str], where: str = "true") -> str:
+    cells = ", ".join(f"CAST(sum({a} * {b}) AS DOUBLE)" for a in columns for b in columns)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    return f"SELECT series, count(*) AS n, [{cells}] AS m FROM {source} WHERE {where} AND {known} GROUP BY series"
+
+
+def _adf_sql(panel: str) -> str:
+    lags = range(1, forecast.MOST_ADF_LAGS + 1)
+    columns = ["1::DOUBLE", "x", *[f"d{k}" for k in lags], "d"]
+    size = len(columns)
+    p, points = "CASE WHEN statistic <= -3.43::DOUBLE THEN 0.01::DOUBLE ", forecast.DF_QUANTILES
+    for (a, pa), (b, pb) in zip(points, points[1:]):
+        p += f"WHEN statistic <= ({b})::DOUBLE THEN {pa}::DOUBLE + (statistic - ({a})) * ({pb - pa!r}::DOUBLE / {b - a!r}::DOUBLE) "
+    p += "WHEN statistic IS NOT NULL THEN 0.99::DOUBLE END"
+    last, params = f"m[{size * size}]", "(k - 2 + 2)"
+    return _recursive(
+        sql(
+            """SELECT series, n, CAST(lags AS INTEGER) AS lags, round(aic, 4) AS aic, round(statistic, 4) AS statistic,
+                      round(p, 4) AS p_value, p < 0.05::DOUBLE AS is_stationary FROM tested""",
+            panel,
+            a0=f"""SELECT series, ts, lag(y) OVER w AS x, y - lag(y) OVER w AS d FROM {panel}
+                   WINDOW w AS (PARTITION BY series ORDER BY ts)""",
+            a1="SELECT *, "
+            + ", ".join(f"lag(d, {k}) OVER w AS d{k}" for k in lags)
+            + " FROM a0 WINDOW w AS (PARTITION BY series ORDER BY ts)",
+            am=_moments_sql("a1", columns),
+            asw=_swept_sql("asw", "am", size),
+            models=f"""
+                SELECT series, n, k - 2 AS lags, CASE WHEN {last} > 0 AND n > k THEN
+                           n * (ln(2 * pi() * {last} / n) + 1) + 2 * {params} END AS aic,
+                       CASE WHEN n > k AND {last} > 0 AND m[{size + 2}] > 0
+                            THEN m[{2 * size}] / sqrt({last} / (n - {params}) * m[{size + 2}]) END AS statistic
+                FROM asw WHERE k >= 2""",
+            best="""SELECT * FROM models WHERE aic IS NOT NULL
+                    QUALIFY row_number() OVER (PARTITION BY series ORDER BY aic, lags) = 1""",
+            judged=f"""SELECT s.series, coalesce(n, 0) AS n, lags, aic, statistic
+                       FROM (SELECT DISTINCT series FROM {panel}) s LEFT JOIN best USING (series)""",
+            tested=f"SELECT *, {p} AS p FROM judged",
+        )
+    )
+
+
+def _adf(panel: DataFrame) -> DataFrame:
+    out = forecast.adf_stationarity(panel)
+    return out.select("series", "n", "lags", r("aic"), r("statistic"), r("p_value"), "is_stationary")
+
+
+@query("adf_stationarity", _adf_sql("hourly"))
+def adf_stationarity(spark: SparkSession, folder: str) -> DataFrame:
+    return _adf(views.hourly(spark, folder))
+
+
+@query("adf_stationarity_entities", _adf_sql("hourlye"))
+def adf_stationarity_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """One test for every entity."""
+    return _adf(views.hourly_entities(spark, folder))
+
+
+def _sarma_views(panel: str) -> dict[str, str]:
+    """The fit in SQL: the long regression by sweeps, the three coefficients by Cramer's rule, the errors row by row."""
+    lags = forecast.LONG_LAGS
+    columns = [f"l{k}" for k in lags] + ["z"]
+    size = len(columns)
+    long_fit = " + ".join(f"m[{i * size + size}] * l{k}" for i, k in enumerate(lags))
+    pairs = {"a11": "z1 * z1", "a22": "zs * zs", "a33": "e1 * e1", "a12": "z1 * zs", "a13": "z1 * e1", "a23": "zs * e1",
+             "b1": "z * z1", "b2": "z * zs", "b3": "z * e1", "szz": "z * z"}
+    det = "(a11 * (a22 * a33 - a23 * a23) - a12 * (a12 * a33 - a23 * a13) + a13 * (a12 * a23 - a22 * a13))"
+    phi = "(b1 * (a22 * a33 - a23 * a23) - a12 * (b2 * a33 - a23 * b3) + a13 * (b2 * a23 - a22 * b3))"
+    phs = "(a11 * (b2 * a33 - a23 * b3) - b1 * (a12 * a33 - a23 * a13) + a13 * (a12 * b3 - b2 * a13))"
+    theta = "(a11 * (a22 * b3 - b2 * a23) - a12 * (a12 * b3 - b2 * a13) + b1 * (a12 * a23 - a22 * a13))"
+    return {
+        "g0": VIEWS["sf0"].replace("FROM hourly", f"FROM {panel}"),
+        "g1": "SELECT *, lag(z, 1) OVER w AS z1, lag(z, 24) OVER w AS zs, "
+        + ", ".join(f"lag(z, {k}) OVER w AS l{k}" for k in lags)
+        + " FROM g0 WINDOW w AS (PARTITION BY series ORDER BY ts)",
+        "lm": _moments_sql("g1", columns, "train"),
+        "lsw": _swept_sql("lsw", "lm", size),
+        "g2": f"""SELECT g1.*, z - ({long_fit}) AS e FROM g1 LEFT JOIN (SELECT * FROM lsw WHERE k = {size - 1}) l
+                  ON l.series = g1.series""",
+        "g3": """SELECT *, coalesce(lag(e) OVER (PARTITION BY series ORDER BY ts), 0) AS e1 FROM g2""",
+        "sm": "SELECT series, count(*) AS n, "
+        + ", ".join(f"sum({v}) AS {k}" for k, v in pairs.items())
+        + " FROM g3 WHERE train AND z1 IS NOT NULL AND zs IS NOT NULL GROUP BY series",
+        "s0": f"SELECT *, {phi} / {det} AS phi, {phs} / {det} AS phi_season, {theta} / {det} AS theta0 FROM sm",
+        "s1": """SELECT *, (szz - phi * b1 - phi_season * b2 - theta0 * b3) / n AS sigma2,
+                        CASE WHEN abs(theta0) > 1 THEN 1 / theta0 ELSE theta0 END AS theta FROM s0""",
+        "sarma": "SELECT *, -n / 2 * (ln(2 * pi() * sigma2) + 1) AS llf FROM s1",
+        "u": """SELECT series, ts, pos, train, y, y_season + phi * z1 + phi_season * zs AS base, theta,
+                       row_number() OVER (PARTITION BY series ORDER BY ts) AS i
+                FROM g3 JOIN sarma USING (series) WHERE z1 IS NOT NULL AND zs IS NOT NULL""",
+        "er": """SELECT series, i, y - base AS e FROM u WHERE i = 1
+                 UNION ALL SELECT u.series, u.i, u.y - u.base - u.theta * er.e FROM er JOIN u ON u.series = er.series AND u.i = er.i + 1""",
+        "sfc": """SELECT u.series, ts, pos, train, y AS actual, base + theta * coalesce(er.e, 0) AS forecast
+                  FROM u LEFT JOIN er ON er.series = u.series AND er.i = u.i - 1""",
+    }
+
+
+def _sarma_sql(body: str, panel: str = "hourly", **extra: str) -> str:
+    return _recursive(sql(body, panel, **_sarma_views(panel), **extra))
+
+
+_SARMA = """SELECT series, n, round(phi, 6) AS phi, round(phi_season, 6) AS phi_season, round(theta, 6) AS theta,
+                   round(sigma2, 4) AS sigma2, round(llf, 4) AS llf, round(8 - 2 * llf, 4) AS aic,
+                   round(4 * ln(n) - 2 * llf, 4) AS bic FROM sarma"""
+
+
+def _sarma_fit(frame: DataFrame) -> DataFrame:
+    fit = forecast.panel_sarma_fit(frame).where("reason IS NULL")
+    return fit.select(
+        "series", "n", *[r(c, 6) for c in ("phi", "phi_season", "theta")], *[r(c) for c in ("sigma2", "llf", "aic", "bic")]
+    )
+
+
+@query("panel_sarma_fit", _sarma_sql(_SARMA))
+def panel_sarma_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return _sarma_fit(_frame(spark, folder))
+
+
+@query("panel_sarma_fit_entities", _sarma_sql(_SARMA, "hourlye"))
+def panel_sarma_fit_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """One model for every entity."""
+    return _sarma_fit(forecast.seasonal_frame(views.hourly_entities(spark, folder)))
+
+
+def _sarma_forecasts(spark: SparkSession, folder: str) -> DataFrame:
+    frame = _frame(spark, folder)
+    return forecast.panel_sarma_forecast(frame, forecast.panel_sarma_fit(frame))
+
+
+@query(
+    "panel_sarma_forecast",
+    _sarma_sql("SELECT series, ts, train, round(actual, 4) AS actual, round(forecast, 4) AS forecast FROM sfc"),
+)
+def panel_sarma_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    return _sarma_forecasts(spark, folder).select("series", "ts", "train", r("actual"), r("forecast"))
+
+
+@query(
+    "sarma_forecast_error",
+    _sarma_sql(
+        f"""SELECT series, {_ERRORS} FROM (SELECT series, actual AS a, forecast AS f FROM sfc WHERE NOT train)
+            GROUP BY series"""
+    ),
+)
+def sarma_forecast_error(spark: SparkSession, folder: str) -> DataFrame:
+    out = error_metrics(_sarma_forecasts(spark, folder).where("not train"), keys=["series"])
+    return out.select("series", "n", r("mae"), r("rmse"), r("mape"))
+
+
+@query(
+    "panel_sarma_horizon",
+    _sarma_sql(
+        """SELECT series, CAST(step AS INTEGER) AS step, origin + step * INTERVAL 1 HOUR AS ts,
+                  round(ys[48], 4) AS forecast FROM st WHERE step > 0""",
+        last_e="SELECT series, arg_max(actual - forecast, pos) AS e FROM sfc WHERE train GROUP BY series",
+        st="""
+            SELECT series, 0 AS step, list(y ORDER BY ts) AS ys, any_value(phi) AS a, any_value(phi_season) AS b,
+                   any_value(theta * e) AS g, max(ts) AS origin
+            FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY ts DESC) AS k FROM g0 WHERE train)
+                 JOIN sarma USING (series) JOIN last_e USING (series) WHERE k <= 48 GROUP BY series HAVING count(*) = 48
+            UNION ALL
+            SELECT series, step + 1, list_append(ys[2:48], ys[25] + a * (ys[48] - ys[24]) + b * (ys[25] - ys[1]) + g),
+                   a, b, 0, origin
+            FROM st WHERE step < 72""",
+    ),
+)
+def panel_sarma_horizon(spark: SparkSession, folder: str) -> DataFrame:
+    frame = _frame(spark, folder)
+    out = forecast.panel_sarma_horizon(frame, forecast.panel_sarma_fit(frame), 72)
+    return out.select("series", "step", "ts", r("forecast"))

@@ -128,6 +128,13 @@ VIEWS = {
         SELECT hg.series, hg.ts, last_value(hm.m IGNORE NULLS) OVER (
                    PARTITION BY hg.series ORDER BY hg.ts ROWS UNBOUNDED PRECEDING) AS y
         FROM hg LEFT JOIN hm ON hm.series = hg.series AND hm.ts = hg.ts""",
+    "hme": "SELECT entity AS series, date_trunc('hour', ts) AS ts, avg(signal) AS m FROM tele GROUP BY 1, 2",
+    "hge": """
+        SELECT series, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts FROM hme GROUP BY series""",
+    "hourlye": """
+        SELECT hge.series, hge.ts, last_value(hme.m IGNORE NULLS) OVER (
+                   PARTITION BY hge.series ORDER BY hge.ts ROWS UNBOUNDED PRECEDING) AS y
+        FROM hge LEFT JOIN hme ON hme.series = hge.series AND hme.ts = hge.ts""",
     "sf0": """
         SELECT series, ts, y, row_number() OVER w - 1 AS pos,
                row_number() OVER w - 1 < floor(count(*) OVER (PARTITION BY series) * 0.8::DOUBLE) AS train,
@@ -163,6 +170,9 @@ _NEEDS = {
     "hm": ["tele"],
     "hg": ["hm"],
     "hourly": ["hg"],
+    "hme": ["tele"],
+    "hge": ["hme"],
+    "hourlye": ["hge"],
     "sf0": ["hourly"],
     "sframe": ["sf0"],
     "moments": ["sframe"],

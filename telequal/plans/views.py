@@ -159,3 +159,10 @@ def hourly(spark: SparkSession, folder: str) -> DataFrame:
     from telequal.operators.forecast import hour_grid
 
     return hour_grid(tele(spark, folder), "kind", "ts", "signal")
+
+
+def hourly_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """The same grid for every single entity: as many series as there are entities."""
+    from telequal.operators.forecast import hour_grid
+
+    return hour_grid(tele(spark, folder), "entity", "ts", "signal")
