@@ -8,20 +8,22 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from telequal.operators.evaluate import roc_auc
 from telequal.operators.ordered import exact_quantiles, fitted_row, number, running_totals
-from telequal.operators.split import hashed
+from telequal.operators.split import MIX_PRIME, mix
 from telequal.operators.stats import fit_minmax, minmax_norm
 from telequal.schemas import ANOMALY_SHARE, IF_SAMPLE, IF_TREES, IF_WEIGHT, LOF_WEIGHT
 from telequal.session import durable
 
-NODES = "tree int, node int, feature int, threshold double, left int, right int, path double"
-# 53-bit hashes are drawn against a share of this range.
-HASH_RANGE = float(2**53)
 # Rows drawn per wanted row, so that every tree fills up.
 DRAW_MARGIN = 1.5
 EULER_GAMMA = 0.5772156649015329
+# Offsets of the seed, so that drawing, dealing, ranking and cutting are shuffled differently.
+DRAW, DEAL, RANK, PICK, CUT, PERMUTE = 1, 1_000, 100_000, 7, 8, 9
+# Numbers of nodes of one tree, below any of the next.
+TREE_STEP = 1_000_003
 
 
 def path_constant(n: float) -> float:
@@ -31,62 +33,84 @@ def path_constant(n: float) -> float:
     return 1.0 if n == 2 else 2.0 * (np.log(n - 1.0) + EULER_GAMMA) - 2.0 * (n - 1.0) / n
 
 
+def key_number(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A whole number per row: the key itself if it is one, else a hash of the keys."""
+    if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, IntegralType):
+        return F.col(keys[0]).cast("bigint")
+    return F.xxhash64(*keys)
+
+
 def _tree_sample(
     df: DataFrame, features: Sequence[str], keys: Sequence[str], trees: int, sample: int, seed: int
 ) -> DataFrame:
-    """(tree, _h, features...): ``sample`` rows per tree, chosen by hash in one pass."""
+    """(tree, x): ``sample`` rows per tree, chosen by an arithmetic hash in one pass; a missing value is 0."""
     n = df.count()
     wanted = DRAW_MARGIN * sample
     groups = int(max(1, min(trees, n // wanted)))
     rounds = -(-trees // groups)
     share = min(1.0, wanted * groups / n) if n else 1.0
+    x = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features])
     # In every round a row falls to one tree at most; a large table needs one round and a small share.
     turn = F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("_turn")
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_turn", *keys), 11)
+    key = F.col("_key")
     drawn = (
-        df.select(*keys, *features)
-        .where(hashed(*keys, seed=seed + 1) < F.lit(share * HASH_RANGE))
+        df.select(key_number(df, keys).alias("_key"), x.alias("x"))
+        .where(mix(key, seed + DRAW) < F.lit(share * MIX_PRIME))
         .select("*", turn)
-        .withColumn("tree", (F.col("_turn") * groups + F.pmod(place, F.lit(groups))).cast("int"))
+        .withColumn("tree", (F.col("_turn") * groups + mix(key, F.col("_turn") + (seed + DEAL)) % groups).cast("int"))
         .where(F.col("tree") < trees)
-        # At most DRAW_MARGIN * trees * sample rows; the trees grow in parallel.
+        # At most about DRAW_MARGIN * trees * sample rows; a tree grows in one task, many trees in many.
         .repartition(min(trees, df.sparkSession.sparkContext.defaultParallelism), "tree")
     )
-    ranked = drawn.withColumn("_h", F.xxhash64(F.lit(seed + 2), "tree", *keys))
-    w = Window.partitionBy("tree").orderBy("_h", *keys)
-    return ranked.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample).select(
-        "tree", "_r", *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features]
-    )
+    w = Window.partitionBy("tree").orderBy(mix(key, F.col("tree") + (seed + RANK)), "_key", "x")
+    return drawn.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample).select("tree", "x")
 
 
-def _grow(features: Sequence[str], seed: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = int(pdf["tree"].iloc[0])
-        x = pdf.sort_values("_r")[list(features)].to_numpy(np.float64)
-        rng = np.random.default_rng([seed, tree])
-        limit = int(np.ceil(np.log2(max(len(x), 2))))
-        nodes: list[tuple] = []
-
-        def add(rows: np.ndarray, depth: int) -> int:
-            at = len(nodes)
-            nodes.append(())
-            spread = np.ptp(x[rows], axis=0)
-            live = np.nonzero(spread > 0)[0]
-            if depth >= limit or len(rows) <= 1 or not len(live):
-                nodes[at] = (tree, at, -1, 0.0, at, at, depth + path_constant(len(rows)))
-                return at
-            f = int(rng.choice(live))
-            lo = x[rows, f].min()
-            cut = lo + spread[f] * rng.random()
-            below = x[rows, f] <= cut
-            left, right = add(rows[below], depth + 1), add(rows[~below], depth + 1)
-            nodes[at] = (tree, at, f, float(cut), left, right, 0.0)
-            return at
-
-        add(np.arange(len(x)), 0)
-        return pd.DataFrame(nodes, columns=["tree", "node", "feature", "threshold", "left", "right", "path"])
-
-    return grow
+def _path_constant(n: Column) -> Column:
+    many = F.lit(2.0) * (F.log(n - F.lit(1.0)) + F.lit(EULER_GAMMA)) - F.lit(2.0) * (n - F.lit(1.0)) / n
+    return F.when(n <= 1, F.lit(0.0)).when(n == 2, F.lit(1.0)).otherwise(many)
+
+
+def _grown(rows: DataFrame, width: int, sample: int, seed: int) -> DataFrame:
+    """(tree, _path): per sampled row the nodes it passes, as structs (node, n, feature, cut); root 1, children 2i and 2i + 1.
+
+    Rows are partitioned by tree once; every level is a window over (tree, node) in the same partitions.
+    """
+    nothing = F.array().cast("array<struct<node:int,n:bigint,feature:int,cut:double>>")
+    whole = Window.partitionBy("tree")
+    size = F.count(F.lit(1)).over(whole)
+    grown = rows.withColumns({"_limit": F.ceil(F.log2(F.greatest(size, F.lit(2)))), "node": F.lit(1), "_path": nothing})
+    w = Window.partitionBy("tree", "node")
+    for level in range(int(np.ceil(np.log2(max(sample, 2)))) + 1):
+        at = F.col("tree").cast("bigint") * TREE_STEP + F.col("node")
+        grown = grown.withColumns(
+            {
+                "_n": F.count(F.lit(1)).over(w),
+                "_lo": F.array(*[F.min(F.get("x", F.lit(i))).over(w) for i in range(width)]),
+                "_hi": F.array(*[F.max(F.get("x", F.lit(i))).over(w) for i in range(width)]),
+            }
+        )
+        live = F.filter(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.get("_hi", i) > F.get("_lo", i))
+        grown = grown.withColumn("_live", live).withColumn(
+            "_f",
+            F.when(
+                (F.lit(level) < F.col("_limit")) & (F.col("_n") > 1) & (F.size("_live") > 0),
+                F.get("_live", (mix(at, seed + PICK) % F.greatest(F.size("_live"), F.lit(1))).cast("int")),
+            ),
+        )
+        share = mix(at, seed + CUT) / F.lit(float(MIX_PRIME))
+        grown = grown.withColumn("_c", F.get("_lo", F.col("_f")) + (F.get("_hi", F.col("_f")) - F.get("_lo", F.col("_f"))) * share)
+        step = F.struct("node", F.col("_n").alias("n"), F.col("_f").alias("feature"), F.col("_c").alias("cut"))
+        grown = grown.withColumns(
+            {
+                "_path": F.when(F.col("node").isNotNull(), F.array_append("_path", step)).otherwise(F.col("_path")),
+                "node": F.when(
+                    F.col("_f").isNotNull(),
+                    F.col("node") * 2 + F.when(F.get("x", F.col("_f")) <= F.col("_c"), 0).otherwise(1),
+                ),
+            }
+        ).drop("_n", "_lo", "_hi", "_live", "_f", "_c")
+    return grown.select("tree", "_path")
 
 
 def fit_isolation_forest(
@@ -97,9 +121,30 @@ def fit_isolation_forest(
     sample: int = IF_SAMPLE,
     seed: int = 42,
 ) -> DataFrame:
-    """Tree nodes as a small table; each tree grows from its own sample in its own task."""
-    drawn = _tree_sample(df, features, keys, trees, sample, seed)
-    return durable(drawn.groupBy("tree").applyInPandas(_grow(features, seed), NODES))
+    """Tree nodes as a small table (tree, node, feature, threshold, left, right, path), grown level by level in expressions.
+
+    Which rows a tree sees, which feature a node cuts and where follow from arithmetic hashes of key, tree and node, so the
+    same forest grows anywhere.  Values up to the threshold go left.  A leaf has feature -1, leads to itself, and its path is
+    its depth plus the mean path of a search among the rows that it holds.
+    """
+    rows = _tree_sample(df, features, keys, trees, sample, seed)
+    passed = _grown(rows, len(features), sample, seed).select("tree", F.explode("_path").alias("p"))
+    nodes = passed.groupBy("tree", "p.node").agg(
+        F.max("p.n").alias("n"), F.max("p.feature").alias("feature"), F.max("p.cut").alias("threshold")
+    )
+    leaf = F.col("feature").isNull()
+    depth = F.floor(F.log2(F.col("node").cast("double") + 0.5))
+    return durable(
+        nodes.select(
+            "tree",
+            "node",
+            F.coalesce("feature", F.lit(-1)).alias("feature"),
+            F.coalesce("threshold", F.lit(0.0)).alias("threshold"),
+            F.when(leaf, F.col("node")).otherwise(F.col("node") * 2).alias("left"),
+            F.when(leaf, F.col("node")).otherwise(F.col("node") * 2 + 1).alias("right"),
+            F.when(leaf, depth + _path_constant(F.col("n"))).otherwise(F.lit(0.0)).alias("path"),
+        )
+    )
 
 
 def isolation_score(
@@ -110,14 +155,15 @@ def isolation_score(
     The model has at most trees * (2 * sample - 1) nodes, which is what travels to the tasks.
     """
     rows = model.orderBy("tree", "node").toPandas()
-    starts = rows.index[rows["node"] == 0].to_numpy()
-    base = np.repeat(starts, np.diff([*starts, len(rows)]))
+    starts = rows.index[~rows["tree"].duplicated()].to_numpy()
     leaf = rows["feature"].to_numpy() < 0
+    name = rows["tree"].to_numpy(np.int64) * TREE_STEP + rows["node"].to_numpy(np.int64)
+    below = [np.searchsorted(name, rows["tree"].to_numpy(np.int64) * TREE_STEP + rows[c]) for c in ("right", "left")]
     nodes = {
         # A leaf leads back to itself, so all rows walk the same number of steps.
         "feature": np.where(leaf, 0, rows["feature"]).astype(np.int64),
         "threshold": np.where(leaf, np.inf, rows["threshold"]),
-        "next": np.column_stack([rows["right"] + base, rows["left"] + base]).astype(np.int64).ravel(),
+        "next": np.column_stack(below).astype(np.int64).ravel(),
         "path": rows["path"].to_numpy(),
         "roots": starts,
     }
@@ -169,7 +215,7 @@ def permuted(df: DataFrame, features: Sequence[str], keys: Sequence[str], seed:
     The partner is the next row in hash order (the last takes the first), so one ranking by hash serves
     all features and no row order is gathered in one task.
     """
-    src = df.withColumn("_h", F.xxhash64(F.lit(seed), *keys).cast("double")).withColumn("_one", F.lit(1))
+    src = df.withColumn("_h", mix(key_number(df, keys), seed + PERMUTE).cast("double")).withColumn("_one", F.lit(1))
     # Positions of distinct hashes; rows that share a hash follow each other.
     per_hash = src.groupBy("_h").agg(F.count(F.lit(1)).alias("_c"))
     placed = running_totals(per_hash, "_h", ["_c"], fit_on=src.select("_h"))

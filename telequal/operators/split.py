@@ -17,7 +17,7 @@ from telequal.session import broadcast_if_small
 MIX_PRIME = 2_147_483_647
 
 
-def mix(key: Column, seed: int = 42) -> Column:
+def mix(key: Column, seed: int | Column = 42) -> Column:
     """A repeatable shuffling order for integer keys: a one-to-one map on 0..prime-1 in plain arithmetic."""
     p = F.lit(MIX_PRIME).cast("bigint")
     x = F.pmod(F.pmod(key.cast("bigint"), p) * 48_271 + seed, p)
