@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from telequal.functions import rules
 from telequal.operators import anomaly, churn, evaluate, neighbours, split, stats
 from telequal.plans import views
 from telequal.plans.registry import query, r, sql
-from telequal.schemas import LOF_NEIGHBOURS
+from telequal.schemas import IF_SAMPLE, IF_TREES, LOF_NEIGHBOURS
 from telequal.session import durable
 from telequal.sources.tables import table
 
@@ -79,10 +81,96 @@ def lof_novelty(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.lof_score(known.where("label >= 7"), model, K).select("id", r("lof", 6))
 
 
+# Fixed value: length of the vectors in the embeddings table.
+EMBEDDING_SIZE = 64
 LI_FEATURES = views.LI_SIGNALS
 LI_KEYS = ["row_id"]
 
 
+def _mix(key: str, seed: int | str) -> str:
+    """The one-to-one shuffling order of whole numbers, spelled in SQL."""
+    x = f"((({key}) % 2147483647) * 48271 + {seed}) % 2147483647"
+    square = f"(({x}) * ({x}) % 2147483647)"
+    return f"(({square} * {square} % 2147483647) * ({x}) % 2147483647)"
+
+
+def _forest_sql(source: str, key: str, features: list[str], trees: int = IF_TREES, sample: int = IF_SAMPLE, seed: int = 42):
+    """The isolation forest of ``source`` in SQL, level by level: ends in ``nodes`` (tree, node, feature, cut, path)."""
+    width, levels = len(features), math.ceil(math.log2(sample))
+    at = f"(tree * {anomaly.TREE_STEP} + node)"
+    parts = {
+        "fk": f"SELECT {key} AS k, [{', '.join(f'CAST(coalesce({f}, 0) AS DOUBLE)' for f in features)}] AS x FROM {source}",
+        "fn": f"""SELECT n, CAST(greatest(1, least({trees}, floor(n / {1.5 * sample}::DOUBLE))) AS BIGINT) AS deal
+                  FROM (SELECT count(*) AS n FROM fk)""",
+        "fd": f"""
+            SELECT k, x, t * deal + {_mix('k', f't + {seed + anomaly.DEAL}')} % deal AS tree
+            FROM (SELECT *, unnest(range(CAST(ceil({trees} / deal) AS BIGINT))) AS t FROM fk, fn
+                  WHERE {_mix('k', seed + anomaly.DRAW)} < least(1, {1.5 * sample}::DOUBLE * deal / n) * 2147483647)""",
+        "f0": f"""
+            SELECT tree, 1 AS node, x, ceil(log2(greatest(count(*) OVER (PARTITION BY tree), 2))) AS most FROM (
+                SELECT * FROM fd WHERE tree < {trees} QUALIFY row_number() OVER (
+                    PARTITION BY tree ORDER BY {_mix('k', f'tree + {seed + anomaly.RANK}')}, k, x) <= {sample})""",
+    }
+    for level in range(levels + 1):
+        lows, highs = (", ".join(f"{f}(x[{i}])" for i in range(1, width + 1)) for f in ("min", "max"))
+        parts[f"s{level}"] = f"""
+            SELECT tree, node, n, most, lo, hi, list_filter(range(1, {width + 1}), lambda i: hi[i] > lo[i]) AS live FROM (
+                SELECT tree, node, count(*) AS n, any_value(most) AS most, [{lows}] AS lo, [{highs}] AS hi
+                FROM f{level} GROUP BY tree, node)"""
+        parts[f"c{level}"] = f"""
+            SELECT *, lo[feature] + (hi[feature] - lo[feature]) * ({_mix(at, seed + anomaly.CUT)} / 2147483647::DOUBLE) AS cut
+            FROM (SELECT *, CASE WHEN {level} < most AND n > 1 AND len(live) > 0
+                                 THEN live[1 + {_mix(at, seed + anomaly.PICK)} % len(live)] END AS feature FROM s{level})"""
+        parts[f"f{level + 1}"] = f"""
+            SELECT tree, 2 * node + CASE WHEN x[feature] <= cut THEN 0 ELSE 1 END AS node, x, f.most
+            FROM f{level} f JOIN c{level} USING (tree, node) WHERE feature IS NOT NULL"""
+    constant = f"CASE WHEN n <= 1 THEN 0 WHEN n = 2 THEN 1 ELSE 2 * (ln(n - 1) + {anomaly.EULER_GAMMA!r}::DOUBLE) - 2 * (n - 1) / n END"
+    parts["nodes"] = " UNION ALL ".join(
+        f"SELECT tree, node, feature, cut, CASE WHEN feature IS NULL THEN {level} + {constant} END AS path FROM c{level}"
+        for level in range(levels + 1)
+    )
+    return parts
+
+
+def _walk_sql(rows: str, sample: int = IF_SAMPLE) -> dict[str, str]:
+    """(k, if_score) of ``rows`` (k, x): every row walks down every tree."""
+    levels = math.ceil(math.log2(sample))
+    step = "SELECT k, x, w.tree, CASE WHEN feature IS NULL THEN w.node WHEN x[feature] <= cut THEN 2 * w.node ELSE 2 * w.node + 1 END AS node FROM"
+    walked = f"(SELECT k, x, tree, 1 AS node FROM {rows}, (SELECT DISTINCT tree FROM nodes))"
+    for _ in range(levels):
+        walked = f"({step} {walked} w JOIN nodes n ON n.tree = w.tree AND n.node = w.node)"
+    c = float(anomaly.path_constant(sample))
+    return {
+        "walked": f"""SELECT k, pow(2, -avg(path) / {c!r}::DOUBLE) AS if_score
+                      FROM {walked} w JOIN nodes n ON n.tree = w.tree AND n.node = w.node GROUP BY k"""
+    }
+
+
+def _kept_sql(body: str, *needed: str, **parts: str) -> str:
+    """As :func:`sql`, with every part computed once."""
+    text = sql(body, *needed, **parts)
+    for name in parts:
+        text = text.replace(f", {name} AS (", f", {name} AS MATERIALIZED (").replace(f"WITH {name} AS (", f"WITH {name} AS MATERIALIZED (")
+    return text
+
+
+_LI_SQL = {
+    "lk": """SELECT l_orderkey * 100 + l_linenumber AS row_id, * FROM (
+                 SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                        ORDER BY ts DESC, part DESC, entity DESC, quantity DESC, price DESC) AS k FROM li) WHERE k = 1""",
+    "b": "SELECT ts AS edge FROM lk ORDER BY ts LIMIT 1 OFFSET (SELECT CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) FROM lk)",
+    "ls": "SELECT *, CASE WHEN ts < edge THEN 'train' ELSE 'test' END AS split FROM lk, b",
+    "st": "SELECT "
+    + ", ".join(
+        f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END AS s_{c}" for c in views.LI_SIGNALS
+    )
+    + " FROM ls WHERE split = 'train'",
+    "lz": f"SELECT row_id, split, flag, {', '.join(f'({c} - m_{c}) / s_{c} AS {c}' for c in views.LI_SIGNALS)} FROM ls, st",
+    "lt": "SELECT * FROM lz WHERE split = 'train'",
+    **_forest_sql("lt", "row_id", views.LI_SIGNALS),
+}
+
+
 def _li_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with one row per key, as readings of a panel."""
     from telequal.operators.dedup import keep_last
@@ -102,16 +190,21 @@ def _scored_li(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return model, scaled
 
 
-@query("iforest_score")
+@query(
+    "iforest_score",
+    _kept_sql(
+        "SELECT row_id, split, round(if_score, 6) AS if_score FROM walked JOIN lz ON k = row_id",
+        "li",
+        **_LI_SQL,
+        lx=f"SELECT row_id AS k, [{', '.join(views.LI_SIGNALS)}] AS x FROM lz",
+        **_walk_sql("lx"),
+    ),
+)
 def iforest_score(spark: SparkSession, folder: str) -> DataFrame:
     model, scaled = _scored_li(spark, folder)
     return anomaly.isolation_score(scaled, model, LI_FEATURES).select("row_id", "split", r("if_score", 6))
 
 
-# Fixed value: length of the vectors in the embeddings table.
-EMBEDDING_SIZE = 64
-
-
 def _ensemble(spark: SparkSession, folder: str) -> DataFrame:
     """Embeddings scored by both detectors; the limits come from the known classes."""
     e = table(spark, folder, "embeddings")
@@ -131,7 +224,31 @@ def _ensemble(spark: SparkSession, folder: str) -> DataFrame:
     return anomaly.ensemble_score(both, anomaly.fit_ensemble(both.where("label < 7")))
 
 
-@query("ensemble_score")
+@query(
+    "ensemble_score",
+    _kept_sql(
+        """SELECT id, round(e, 6) AS ensemble, CASE WHEN e > 0.65::DOUBLE THEN 'High' WHEN e > 0.5::DOUBLE THEN 'Medium' ELSE 'Normal' END
+                  AS severity, e > 0.5::DOUBLE AS is_anomaly FROM blended""",
+        v="SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings",
+        known="SELECT * FROM v WHERE label < 7",
+        **_forest_sql("known", "id", [f"vec[{i}]" for i in range(1, EMBEDDING_SIZE + 1)]),
+        vx="SELECT id AS k, vec AS x FROM v",
+        **_walk_sql("vx"),
+        pairs="""SELECT a.id, a.label, b.id AS neighbour, list_distance(a.vec, b.vec) AS dist FROM v a JOIN known b ON true""",
+        nn=f"""SELECT * FROM pairs WHERE label < 7 AND id <> neighbour
+               QUALIFY row_number() OVER (PARTITION BY id ORDER BY dist, neighbour) <= {K}""",
+        kd="SELECT id, max(dist) AS kdist FROM nn GROUP BY id",
+        lrd="""SELECT nn.id, 1 / (avg(greatest(dist, kdist)) + 1e-10) AS lrd FROM nn JOIN kd ON kd.id = nn.neighbour
+               GROUP BY nn.id""",
+        near=f"SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY id ORDER BY dist, neighbour) <= {K}",
+        lof="""SELECT near.id, avg(lrd) * (avg(greatest(dist, kdist)) + 1e-10) AS lof
+               FROM near JOIN lrd ON lrd.id = near.neighbour JOIN kd ON kd.id = near.neighbour GROUP BY near.id""",
+        scored="SELECT v.id, v.label, if_score, lof FROM v JOIN walked ON k = v.id JOIN lof ON lof.id = v.id",
+        lim="""SELECT min(if_score) AS il, max(if_score) AS ih, min(lof) AS ll, max(lof) AS lh FROM scored WHERE label < 7""",
+        blended="""SELECT id, (if_score - il) / (ih - il + 1e-9) * 0.6::DOUBLE + (lof - ll) / (lh - ll + 1e-9) * 0.4::DOUBLE AS e
+                   FROM scored, lim""",
+    ),
+)
 def ensemble_score(spark: SparkSession, folder: str) -> DataFrame:
     scored = _ensemble(spark, folder)
     cut = F.lit(0.5)
