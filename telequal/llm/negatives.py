@@ -20,8 +20,8 @@ from telequal.session import durable
 #: Most components in a block of rows, and most anchors in a chunk.
 BLOCK_VALUES = 1 << 19
 CHUNK_ANCHORS = 512
-#: Rows that the heads read of each list before the first look at the bound; doubled each time.
-FIRST_DEPTH = 16
+#: Rows that the heads read of each list before the first look at the bound, and how much deeper each next look is.
+FIRST_DEPTH, DEEPER = 16, 4
 #: Products and sums below this are exact in doubles; beyond it Python integers are used.
 EXACT = 1 << 53
 LONG = (1 << 63) - 1
@@ -43,37 +43,36 @@ class Lists:
 
     def __init__(self, rows: np.ndarray) -> None:
         self.rows = rows
-        self.order = np.argsort(rows, axis=0, kind="stable")
+        self.order = np.ascontiguousarray(np.argsort(rows, axis=0, kind="stable").T.astype(np.int32))
         self.most = int(np.abs(rows.astype(object)).max()) if rows.size else 0
+        self.real = rows.astype(np.float64)
 
     def scan(self, anchor: np.ndarray):
         """Growing sets of scored rows: (indices, their scores, bound of all other rows or None when none is left)."""
         n, width = self.rows.shape
         exact = self.most * int(np.abs(anchor.astype(object)).max(initial=0)) * max(1, width) < EXACT
         kind = np.float64 if exact else object
-        weights = anchor.astype(kind)
-        live = np.flatnonzero(anchor)
-        up = anchor[live] > 0
+        rows, weights = self.real if exact else self.rows.astype(object), anchor.astype(kind)
+        high, low = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
+        up, down = self.order[high], self.order[low]
         met, scores = np.zeros(n, bool), np.zeros(n, kind)
         depth = 0
         while n:
-            last, depth = depth, min(n, 2 * depth or FIRST_DEPTH)
-            if len(live) == 0:
-                depth = n
-                fresh = np.arange(n)
+            last, depth = depth, min(n, DEEPER * depth or FIRST_DEPTH)
+            before = met.copy()
+            if len(high) + len(low) == 0:
+                met[:] = True
             else:
-                now = np.zeros(n, bool)
-                now[self.order[n - depth : n - last, live[up]]] = True
-                now[self.order[last:depth, live[~up]]] = True
-                fresh = np.flatnonzero(now & ~met)
-            met[fresh] = True
-            scores[fresh] = self.rows[fresh].astype(kind) @ weights
+                met[up[:, n - depth : n - last]] = True
+                met[down[:, last:depth]] = True
+            fresh = np.flatnonzero(met & ~before)
+            scores[fresh] = rows[fresh] @ weights
             if depth == n or met.all():
                 yield np.arange(n), scores, None
                 return
-            heads = np.where(up, self.order[n - depth, live], self.order[depth - 1, live])
+            bound = (rows[up[:, n - depth], high] * weights[high]).sum() + (rows[down[:, depth - 1], low] * weights[low]).sum()
             seen = np.flatnonzero(met)
-            yield seen, scores[seen], (self.rows[heads, live].astype(kind) * weights[live]).sum()
+            yield seen, scores[seen], bound
 
 
 def _first(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:

@@ -114,3 +114,71 @@ def base_scores(texts: dict, learn) -> tuple[dict, int]:
     return {
         i: (len(ws), sum(c[w] > 0 for w in ws), sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws)) for i, ws in words.items()
     }, n
+
+
+def line_key(line: str) -> str:
+    return lower(line.strip(" \t\n\x0b\x0c\r"))
+
+
+def repeated_lines(rows: list[tuple], least: int, min_chars: int = 1, keep_first: bool = False) -> list[tuple]:
+    """(text, n_lines, n_dropped) of each (doc_id, text) row."""
+    split = [(t or "").split("\n") for _, t in rows]
+    count = Counter(k for x in split for k in {line_key(y) for y in x} if len(k) >= max(1, min_chars))
+    gone = {k for k, n in count.items() if n >= least}
+    first: dict = {}
+    for (i, _), x in zip(rows, split):
+        for n, y in enumerate(x):
+            place = (i is None, i if i is not None else 0, n)
+            if line_key(y) in gone and place < first.get(line_key(y), (True, float("inf"), 0)):
+                first[line_key(y)] = place
+    out = []
+    for (i, t), x in zip(rows, split):
+        kept = [
+            y for n, y in enumerate(x)
+            if line_key(y) not in gone or (keep_first and first[line_key(y)] == (i is None, i if i is not None else 0, n))
+        ]
+        out.append((None if t is None else "\n".join(kept), len(x), len(x) - len(kept)))
+    return out
+
+
+def hard_negatives(rows: list[tuple], anchors: set, positives: int, negatives: int, low: int, high: int) -> set[tuple]:
+    """(anchor, positive, rank, negative, positive score, negative score) of (id, label, whole vector) rows."""
+    out = set()
+    for a, label, v in rows:
+        if a not in anchors:
+            continue
+        score = {i: sum(x * y for x, y in zip(v, w)) for i, _, w in rows}
+        near = sorted((-score[i], i) for i, other, _ in rows if other == label and i != a)[:positives]
+        far = sorted((-score[i], i) for i, other, _ in rows if other != label)
+        for s, p in near:
+            fit = [(t, i) for t, i in far if low * -s <= 100 * -t <= high * -s][:negatives]
+            out |= {(a, p, k, i, -s, -t) for k, (t, i) in enumerate(fit, 1)}
+    return out
+
+
+def prefix_trie(rows: list[tuple], head, base_of) -> set[tuple]:
+    """All columns of each node, from (conv_id, turn, role, text) rows, rebuilding every conversation."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [x[2:] for x in sorted(t)] for c, t in own.items()}
+    members = defaultdict(list)
+    for c, t in own.items():
+        path = own.get(base_of(c), [])[: head(c)] + t[head(c) :]
+        for d in range(len(path) + 1):
+            members[tuple(path[:d])].append((c, len(path) == d))
+    children = Counter(p[:-1] for p in members if p)
+    saved, leaves = Counter(), Counter()
+    for p, who in members.items():
+        for d in range(len(p) + 1):
+            saved[p[:d]] += (len(who) - 1) * (len(p[-1][1]) if p else 0)
+            leaves[p[:d]] += not children[p]
+    least = {p: min(c for c, _ in who) for p, who in members.items()}
+    return {
+        (
+            least[p], len(p), least[p[:-1]] if p else None, len(who), children[p], leaves[p], saved[p],
+            hashlib.sha256(",".join(str(c) for c, end in sorted(who) if end).encode()).hexdigest(),
+        )
+        for p, who in members.items()
+    }
