@@ -154,8 +154,8 @@ def talks(spark):
         for c in [*range(40), *range(60, 75)]
         for t in range(rng.randint(0, 5) or 1)
     ]
-    rows += [(31, t, "user", f"turn {t % 3}") for t in range(2000)]  # one conversation has most rows
-    rows += [(35, t, "user", f"turn {t % 3}") for t in range(1500)]
+    rows += [(31, t, "user", f"turn {t % 3}") for t in range(120)]  # one conversation has a third of the rows
+    rows += [(35, t, "user", f"turn {t % 3}") for t in range(90)]
     rows += [(None, 0, "user", "lost"), (5_000_000_000, 1, "user", "hi")]
     columns = "conv_id long, turn long, role string, text string"
     return rows, spark.createDataFrame(rows, columns).withColumns({"fp": F.lit("own"), "depth": F.lit(1), "part": F.lit(2)})
