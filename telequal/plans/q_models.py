@@ -258,7 +258,35 @@ def ensemble_score(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("permutation_importance")
+_SHUFFLED = " UNION ALL ".join(
+    f"SELECT {i} AS shuffled, row_id, flag, [{', '.join(f'd_{c}' if c == f else c for c in LI_FEATURES)}] AS x FROM shifted"
+    for i, f in enumerate(["", *LI_FEATURES])
+)
+
+
+@query(
+    "permutation_importance",
+    _kept_sql(
+        f"""SELECT feature, round(auc, 6) AS auc, round((SELECT auc FROM aucs WHERE shuffled = 0) - auc, 6) AS "drop"
+            FROM aucs JOIN (SELECT unnest([{', '.join(f"'{f}'" for f in LI_FEATURES)}]) AS feature,
+                                   unnest(range(1, {len(LI_FEATURES) + 1})) AS shuffled) USING (shuffled)""",
+        "li",
+        **_LI_SQL,
+        tests=f"""SELECT *, {_mix('row_id', 42 + anomaly.PERMUTE)} AS h FROM lz WHERE split = 'test'""",
+        shifted="SELECT row_id, flag, "
+        + ", ".join(
+            f"{c}, coalesce(lead({c}) OVER (ORDER BY h, row_id), first({c}) OVER (ORDER BY h, row_id)) AS d_{c}" for c in LI_FEATURES
+        )
+        + " FROM tests",
+        px=f"SELECT row_id * 10 + shuffled AS k, x FROM ({_SHUFFLED})",
+        **_walk_sql("px"),
+        judged="SELECT k % 10 AS shuffled, flag, if_score AS s FROM walked JOIN tests ON row_id = k // 10",
+        counts="""SELECT shuffled, s, count(*) FILTER (WHERE flag = 1) AS pos, count(*) FILTER (WHERE flag = 0) AS neg
+                  FROM judged GROUP BY shuffled, s""",
+        aucs="""SELECT shuffled, sum(pos * (below - neg / 2)) / (sum(pos) * sum(neg)) AS auc
+                FROM (SELECT *, sum(neg) OVER (PARTITION BY shuffled ORDER BY s) AS below FROM counts) GROUP BY shuffled""",
+    ),
+)
 def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
     model, scaled = _scored_li(spark, folder)
     test = scaled.where("split = 'test'").select("row_id", "flag", *LI_FEATURES)

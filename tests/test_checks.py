@@ -10,7 +10,7 @@ import __spark_entry__ as contract
 from tests import compare
 
 DIR = os.environ.get("TELEQUAL_CHECK_DIR", "/root/testdata/sf0.001")
-SLOW = {"churn_score", "churn_evaluation", "permutation_importance", "ensemble_score", "iforest_score"}
+SLOW = {"churn_score", "churn_evaluation"}
 
 
 @pytest.fixture(scope="module")
