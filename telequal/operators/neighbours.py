@@ -1,8 +1,9 @@
 """Exact nearest neighbours and the local outlier factor.
 
-A reference set that fits an executor is sent to all of them.  A larger one is cut into blocks
-(nearest pivot, ring of distance to it); the triangle inequality tells which blocks a query must
-visit, so the result is exact while no task sees the whole set.
+A reference set that fits an executor is sent to all of them.  A larger one is cut by a tree of median cuts into leaves,
+whose boxes are measured on the data.  A query first visits the leaf it falls into; the distance of its k-th neighbour
+there tells which other boxes it must visit, found from the root down.  The result is exact while no task sees more than
+one bounded part of a leaf.
 """
 
 from __future__ import annotations
@@ -14,17 +15,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from telequal.operators.ordered import range_splits, with_bucket
 from telequal.operators.split import hashed
 from telequal.schemas import LOF_NEIGHBOURS
 from telequal.session import broadcast_if_small, durable
 
-# Most doubles of reference vectors that are sent to every executor.
+# Most doubles of reference vectors that are sent to every executor; the boxes of a tree keep below it as well.
 SHARED_DOUBLES = 4_000_000
-PIVOTS = 64
-BLOCK_ROWS = 2_000
-MOST_BLOCKS = 100_000
+LEAF_ROWS = 2_000
+# Sampled reference rows per leaf, from which the cuts are taken.
+SAMPLE_PER_LEAF = 8
 VISITS_PER_TASK = 20_000
+# Queries whose way through the tree is looked for at once.
+WALK_ROWS = 256
 RESULT = "id bigint, neighbour bigint, dist double"
 
 
@@ -75,79 +77,178 @@ def _shared(queries: DataFrame, refs: DataFrame, k: int, skip_self: bool) -> Dat
     return queries.select("id", "vec").mapInPandas(run, RESULT)
 
 
-def _blocked(queries: DataFrame, refs: DataFrame, k: int, skip_self: bool, n_refs: int, block_rows: int) -> DataFrame:
+class CutTree:
+    """Median cuts of a sample, as a heap: node i has the children 2i and 2i + 1, and the leaves are the last level."""
+
+    def __init__(self, sample: np.ndarray, levels: int) -> None:
+        self.levels = levels
+        self.dim, self.cut = np.zeros(1 << levels, np.int64), np.zeros(1 << levels)
+        rows = {1: np.arange(len(sample))}
+        for node in range(1, 1 << levels):
+            at = rows.pop(node)
+            if len(at):
+                x = sample[at]
+                self.dim[node] = int(np.ptp(x, axis=0).argmax())
+                values = x[:, self.dim[node]]
+                self.cut[node] = np.median(values)
+                if self.cut[node] == values.max():  # equal values from the middle on: cut below them
+                    below = values[values < self.cut[node]]
+                    self.cut[node] = below.max() if len(below) else self.cut[node]
+                right = values > self.cut[node]
+                rows[2 * node], rows[2 * node + 1] = at[~right], at[right]
+            else:
+                rows[2 * node] = rows[2 * node + 1] = at
+
+    def leaf(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of every row, from 0."""
+        node, row = np.ones(len(x), np.int64), np.arange(len(x))
+        for _ in range(self.levels):
+            node = 2 * node + (x[row, self.dim[node]] > self.cut[node])
+        return node - (1 << self.levels)
+
+
+class Boxes:
+    """For every node of a tree the smallest box around its rows, and how many these are."""
+
+    def __init__(self, levels: int, leaf: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        self.levels, size = levels, 2 << levels
+        self.n = np.zeros(size, np.int64)
+        self.low, self.high = np.full((size, low.shape[1]), np.inf), np.full((size, low.shape[1]), -np.inf)
+        at = leaf + (1 << levels)
+        self.n[at], self.low[at], self.high[at] = n, low, high
+        for level in range(levels - 1, -1, -1):
+            up = np.arange(1 << level, 2 << level)
+            self.n[up] = self.n[2 * up] + self.n[2 * up + 1]
+            self.low[up] = np.minimum(self.low[2 * up], self.low[2 * up + 1])
+            self.high[up] = np.maximum(self.high[2 * up], self.high[2 * up + 1])
+
+    def home(self, leaf: np.ndarray, need: int) -> np.ndarray:
+        """The smallest node above each leaf with ``need`` rows, or the root."""
+        node = leaf + (1 << self.levels)
+        while (small := (self.n[node] < need) & (node > 1)).any():
+            node = np.where(small, node // 2, node)
+        return node
+
+    def leaves(self, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf): the leaves with rows below each node."""
+        row = np.arange(len(node))
+        while len(node) and node[0] < (1 << self.levels):
+            deep = node >= (1 << self.levels)
+            row = np.concatenate((row[deep], np.repeat(row[~deep], 2)))
+            node = np.concatenate((node[deep], (2 * node[~deep][:, None] + [0, 1]).ravel()))
+            order = np.argsort(node, kind="stable")  # inner nodes first
+            row, node = row[order], node[order]
+        some = self.n[node] > 0
+        return row[some], node[some] - (1 << self.levels)
+
+    def within(self, x: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf): the leaves whose boxes are no farther from a row than its limit, from the root down."""
+        row, node = np.arange(len(x)), np.ones(len(x), np.int64)
+        for level in range(self.levels + 1):
+            there = self.n[node] > 0
+            row, node = row[there], node[there]
+            gap = np.maximum(np.maximum(self.low[node] - x[row], x[row] - self.high[node]), 0.0)
+            near = np.sqrt((gap * gap).sum(1)) <= limit[row]
+            row, node = row[near], node[near]
+            if level < self.levels:
+                row, node = np.repeat(row, 2), (2 * node[:, None] + [0, 1]).ravel()
+        return row, node - (1 << self.levels)
+
+
+def _levels(n_refs: int, width: int, leaf_rows: int, shared_doubles: int) -> int:
+    """Levels of a tree with leaves of about ``leaf_rows`` rows whose boxes, two corners a node, may be sent to tasks."""
+    wanted = int(np.ceil(np.log2(max(1.0, n_refs / leaf_rows))))
+    most = int(np.log2(max(2.0, shared_doubles / (4 * max(1, width)))))
+    return max(0, min(wanted, most))
+
+
+def _by_tree(
+    queries: DataFrame, refs: DataFrame, k: int, skip_self: bool, n_refs: int, width: int, leaf_rows: int, shared: int
+) -> DataFrame:
     spark = queries.sparkSession
     # Of identical vectors only the first k+1 ids can be among the k nearest.
     copies = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
     refs = refs.select("id", "vec").withColumn("_c", copies).where(F.col("_c") <= k + 1).drop("_c")
-    picked = refs.orderBy(hashed("id"), "id").limit(PIVOTS).select("vec").toPandas()
-    pivots = spark.sparkContext.broadcast(_matrix(picked["vec"]))
-
-    @F.pandas_udf("struct<cell int, d double>")
-    def place(vec: pd.Series) -> pd.DataFrame:
-        x, p = _matrix(vec), pivots.value
-        d2 = (x * x).sum(1)[:, None] + (p * p).sum(1)[None, :] - 2.0 * x @ p.T
-        cell = d2.argmin(1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "d": np.sqrt(((x - p[cell]) ** 2).sum(1))})
-
-    placed = durable(refs.withColumn("_p", place("vec")).select("id", "vec", "_p.cell", "_p.d"))
-    rows = max(block_rows, n_refs // MOST_BLOCKS)
-    n_rings = max(1, n_refs // (len(picked) * rows))
-    ringed = with_bucket(placed, "d", range_splits(placed, "d", n_rings + 1), "ring")
-    blocks = (
-        ringed.groupBy("cell", "ring")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi"))
-        .toPandas()  # about n_refs / rows entries, at most PIVOTS * MOST_BLOCKS / PIVOTS
-    )
-    stats = spark.sparkContext.broadcast({c: blocks[c].to_numpy() for c in blocks.columns})
+    levels = _levels(n_refs, width, leaf_rows, shared)
+    share = min(1.0, (SAMPLE_PER_LEAF << levels) / n_refs)  # a sample in proportion to the boxes, which are bounded
+    picked = refs.where(hashed("id") < F.lit(share * 2.0**53)).select("vec").toPandas()
+    tree = spark.sparkContext.broadcast(CutTree(_matrix(picked["vec"]).reshape(len(picked), -1), levels).__dict__)
+
+    def cuts() -> CutTree:
+        t = CutTree.__new__(CutTree)
+        t.__dict__.update(tree.value)
+        return t
+
+    @F.pandas_udf("int")
+    def leaf_of(vec: pd.Series) -> pd.Series:
+        return pd.Series(cuts().leaf(_matrix(vec)).astype("int32"))
+
+    placed = durable(refs.withColumn("leaf", leaf_of("vec")))
+    corners = [f(F.get("vec", F.lit(i))).alias(f"{c}{i}") for c, f in (("lo", F.min), ("hi", F.max)) for i in range(width)]
+    # At most 2^levels rows, whose corners ``shared`` bounds.
+    measured = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), *corners).toPandas()
+    low, high = (measured[[f"{c}{i}" for i in range(width)]].to_numpy(np.float64) for c in ("lo", "hi"))
+    boxes = Boxes(levels, measured["leaf"].to_numpy(np.int64), measured["n"].to_numpy(np.int64), low, high)
+    sent = spark.sparkContext.broadcast(boxes.__dict__)
+
+    def sizes() -> Boxes:
+        b = Boxes.__new__(Boxes)
+        b.__dict__.update(sent.value)
+        return b
+
+    # A leaf is looked at in parts of bounded size: its number of rows grows with the data beyond the last level.
+    parts = np.ones(1 << levels, np.int64)
+    parts[measured["leaf"].to_numpy(np.int64)] = -(-measured["n"].to_numpy(np.int64) // (2 * leaf_rows))
+    many = spark.sparkContext.broadcast(parts)
+
+    @F.pandas_udf("int")
+    def part_of(leaf: pd.Series, number: pd.Series) -> pd.Series:
+        return (number % many.value[leaf.to_numpy()]).astype("int32")
+
+    blocks = durable(placed.withColumn("part", part_of("leaf", F.pmod(F.xxhash64("id"), F.lit(1 << 30)))))
     need = k + (1 if skip_self else 0)
 
-    def reach(vec: np.ndarray, limit: np.ndarray | None) -> Iterator[tuple[np.ndarray, float]]:
-        """Per query: the blocks that may hold a neighbour within ``limit`` (or the bound all blocks imply)."""
-        s, p = stats.value, pivots.value
-        slack = 1e-7
-        for i, v in enumerate(vec):
-            d = np.sqrt(((v - p) ** 2).sum(1))
-            to = d[s["cell"]]
-            if limit is None:
-                far = to + s["hi"]
-                order = np.argsort(far, kind="stable")
-                at = min(np.searchsorted(np.cumsum(s["n"][order]), need), len(order) - 1)
-                yield order[: at + 1], float(far[order[at]])
-            else:
-                near = np.maximum(np.maximum(to - s["hi"], s["lo"] - to), (to - d.min()) / 2)
-                yield np.nonzero(near <= limit[i] + slack)[0], float(limit[i])
+    def visits(b: pd.DataFrame, row: np.ndarray, leaf: np.ndarray) -> pd.DataFrame:
+        n = many.value[leaf]
+        at = np.repeat(row, n)
+        part = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        rep = b[["id", "vec"]].iloc[at].reset_index(drop=True)
+        return rep.assign(leaf=np.repeat(leaf, n).astype("int32"), part=part.astype("int32"))
 
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if len(b):
-                yield _visits(b, list(reach(_matrix(b["vec"]), None)))
+            for a in range(0, len(b), WALK_ROWS):
+                yield b.iloc[a : a + WALK_ROWS]
 
-    def _visits(b: pd.DataFrame, found: list) -> pd.DataFrame:
-        s = stats.value
-        at = np.concatenate([f for f, _ in found])
-        n = np.array([len(f) for f, _ in found])
-        rep = b.loc[b.index.repeat(n), ["id", "vec"]].reset_index(drop=True)
-        return rep.assign(cell=s["cell"][at], ring=s["ring"][at])
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in slices(batches):
+            home = sizes().home(cuts().leaf(_matrix(b["vec"])), need)
+            yield visits(b, *sizes().leaves(home))
 
     def second(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                yield _visits(b, list(reach(_matrix(b["vec"]), b["limit"].to_numpy())))
+        for b in slices(batches):
+            x = _matrix(b["vec"])
+            limit = b["limit"].to_numpy()
+            row, leaf = sizes().within(x, limit + 1e-7 * (1.0 + limit))
+            # What the first visit has seen is below the query's home.
+            home = sizes().home(cuts().leaf(x), need)[row]
+            bits = levels - np.floor(np.log2(home)).astype(np.int64)
+            new = (leaf + (1 << levels)) >> bits != home
+            yield visits(b, row[new], leaf[new])
 
     vec_type = queries.schema["vec"].dataType.simpleString()
-    visit_schema = f"id bigint, vec {vec_type}, cell int, ring int"
-
-    def look(visits: DataFrame) -> DataFrame:
-        """k nearest inside each visited block; busy blocks are copied to several tasks."""
-        visits = durable(visits)
-        busy = visits.groupBy("cell", "ring").agg(F.ceil(F.count(F.lit(1)) / VISITS_PER_TASK).alias("_s"))
-        busy = broadcast_if_small(busy, MOST_BLOCKS)
-        left = visits.join(busy, ["cell", "ring"]).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("_s"))).drop("_s")
+    visit_schema = f"id bigint, vec {vec_type}, leaf int, part int"
+
+    def look(visited: DataFrame) -> DataFrame:
+        """k nearest inside each visited part; busy parts are copied to several tasks."""
+        visited = durable(visited)
+        busy = visited.groupBy("leaf", "part").agg(F.ceil(F.count(F.lit(1)) / VISITS_PER_TASK).alias("_s"))
+        busy = broadcast_if_small(busy)
+        left = visited.join(busy, ["leaf", "part"]).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("_s"))).drop("_s")
         right = (
-            ringed.join(busy, ["cell", "ring"])
+            blocks.join(busy, ["leaf", "part"])
             .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_s") - 1)))
-            .select("id", "vec", "cell", "ring", "salt")
+            .select("id", "vec", "leaf", "part", "salt")
         )
 
         def work(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
@@ -157,14 +258,15 @@ def _blocked(queries: DataFrame, refs: DataFrame, k: int, skip_self: bool, n_ref
             i, n, d = _nearest(_matrix(q["vec"]), _matrix(r["vec"]), r["id"].to_numpy(), own if skip_self else None, k)
             return pd.DataFrame({"id": own[i], "neighbour": n, "dist": d})
 
-        keys = ["cell", "ring", "salt"]
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(work, RESULT)
+        keys = ["leaf", "part", "salt"]
+        return durable(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(work, RESULT))
 
     q = queries.select("id", "vec")
-    bound = look(q.mapInPandas(first, visit_schema)).groupBy("id").agg(F.count(F.lit(1)).alias("_n"), F.sort_array(
-        F.collect_list("dist")).alias("_d"))  # a few blocks times k distances per query
-    limit = bound.select("id", F.when(F.col("_n") >= k, F.element_at("_d", k)).otherwise(F.lit(float("inf"))).alias("limit"))
-    return look(q.join(limit, "id", "left").fillna(float("inf"), ["limit"]).mapInPandas(second, visit_schema))
+    found = look(q.mapInPandas(first, visit_schema))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("dist", "neighbour"))
+    kth = found.withColumn("_r", rank).where(F.col("_r") == k).select("id", F.col("dist").alias("limit"))
+    bounded = q.join(kth, "id", "left").fillna(float("inf"), ["limit"])
+    return found.unionByName(look(bounded.mapInPandas(second, visit_schema)))
 
 
 def knn_join(
@@ -173,7 +275,7 @@ def knn_join(
     k: int,
     skip_self: bool = False,
     shared_doubles: int = SHARED_DOUBLES,
-    block_rows: int = BLOCK_ROWS,
+    leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """(id, rank, neighbour, dist): the k nearest references of every query, ties by neighbour id.
 
@@ -183,7 +285,7 @@ def knn_join(
     if shape.n * (shape.d or 0) <= shared_doubles:
         found = _shared(queries, refs, k, skip_self)
     else:
-        found = _blocked(queries, refs, k, skip_self, shape.n, block_rows)
+        found = _by_tree(queries, refs, k, skip_self, shape.n, shape.d, leaf_rows, max(shared_doubles, 64 * shape.d))
     rank = F.row_number().over(Window.partitionBy("id").orderBy("dist", "neighbour"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("id", "rank", "neighbour", "dist")
 

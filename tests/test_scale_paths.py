@@ -138,7 +138,7 @@ def test_nearest_neighbours_exact_with_copies(spark, skip, limit):
     pts = {i: rng.normal(size=3) + 4 * (i % 3) for i in range(150)}
     pts |= {150 + i: np.array([1.0, 2.0, 3.0]) for i in range(60)}  # a third of all rows are one vector
     df = spark.createDataFrame([(i, v.tolist()) for i, v in pts.items()], "id bigint, vec array<double>")
-    got = neighbours.knn_join(df, df, 5, skip, shared_doubles=limit, block_rows=4).toPandas()
+    got = neighbours.knn_join(df, df, 5, skip, shared_doubles=limit, leaf_rows=4).toPandas()
     want = _brute(pts, pts, 5, skip)
     for i, part in got.sort_values("rank").groupby("id"):
         assert np.allclose(part["dist"], [d for d, _ in want[i]])
