@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from telequal.functions import rules
 from telequal.functions.numbers import steady_round
+from telequal.operators import network
 from telequal.operators.encode import apply_label_codes, fit_label_codes
 from telequal.operators.evaluate import (
     average_precision,
@@ -48,7 +49,7 @@ ROWS_PER_TASK = 10_000
 class ChurnModel:
     codes: DataFrame
     scaler: DataFrame
-    classifier: Model
+    classifier: Model | network.Network
 
 
 def _model_inputs(df: DataFrame, codes: DataFrame, scaler: DataFrame) -> DataFrame:
@@ -69,8 +70,14 @@ def _model_inputs(df: DataFrame, codes: DataFrame, scaler: DataFrame) -> DataFra
     return ready.drop(*[f"{c}_code" for c in CUSTOMER_CATEGORIES])
 
 
-def fit_churn(train: DataFrame, kind: str = "mlp", max_iter: int = 100, seed: int = 42) -> ChurnModel:
-    """Fit codes and scaling on the training rows, then the network or the linear baseline."""
+def fit_churn(
+    train: DataFrame, kind: str = "mlp", max_iter: int = 100, seed: int = 42, keys: Sequence[str] = ("customer_id",)
+) -> ChurnModel:
+    """Fit codes and scaling on the training rows, then a model of one ``kind``.
+
+    'network' trains by epochs with an early stop on rows held out by ``keys`` (see :mod:`telequal.operators.network`), 'mlp'
+    is Spark ML's perceptron over all rows, 'logistic' the linear baseline.
+    """
     codes = fit_label_codes(train, CUSTOMER_CATEGORIES)
     coded = apply_label_codes(train, codes, CUSTOMER_CATEGORIES)
     numbers = coded.select(
@@ -82,7 +89,11 @@ def fit_churn(train: DataFrame, kind: str = "mlp", max_iter: int = 100, seed: in
     spark = train.sparkSession
     codes = spark.createDataFrame(codes.collect(), codes.schema)
     scaler = spark.createDataFrame(scaler.collect(), scaler.schema)
-    rows = _model_inputs(train, codes, scaler).select("features", F.col(LABEL).cast("double").alias("label"))
+    ready = _model_inputs(train, codes, scaler)
+    if kind == "network":
+        fitted = network.fit_network(ready, vector_to_array("features"), LABEL, keys, HIDDEN_LAYERS, max_iter, seed=seed)
+        return ChurnModel(codes, scaler, fitted)
+    rows = ready.select("features", F.col(LABEL).cast("double").alias("label"))
     if kind == "mlp":
         rows = oversample(rows, "label").select("features", "label")
         learner = MultilayerPerceptronClassifier(
@@ -105,8 +116,10 @@ def fit_churn(train: DataFrame, kind: str = "mlp", max_iter: int = 100, seed: in
 
 
 def training_history(model: ChurnModel) -> DataFrame:
-    """(epoch, loss) of the optimiser."""
+    """(epoch, loss) of the optimiser; with ``val_score``, the validation AUC, for a network trained by epochs."""
     m = model.classifier
+    if isinstance(m, network.Network):
+        return network.history_table(model.scaler.sparkSession, m)
     summary = m.summary() if callable(m.summary) else m.summary
     rows = [(i + 1, float(v)) for i, v in enumerate(summary.objectiveHistory)]
     return model.scaler.sparkSession.createDataFrame(rows, "epoch int, loss double")
@@ -114,6 +127,9 @@ def training_history(model: ChurnModel) -> DataFrame:
 
 def churn_probability(df: DataFrame, model: ChurnModel, out: str = "churn_prob") -> DataFrame:
     ready = _model_inputs(df, model.codes, model.scaler)
+    if isinstance(model.classifier, network.Network):
+        p = network.probability(model.classifier, vector_to_array("features"), df.sparkSession)
+        return ready.withColumn(out, p).select(*df.columns, out)
     scored = model.classifier.transform(ready)
     return scored.withColumn(out, vector_to_array("probability")[1]).select(*df.columns, out)
 

@@ -305,7 +305,7 @@ def _customer_parts(spark: SparkSession, folder: str) -> DataFrame:
 def churn_score(spark: SparkSession, folder: str) -> DataFrame:
     """Train on the training part, tune on validation, score every customer."""
     parts = durable(_customer_parts(spark, folder))
-    model = churn.fit_churn(parts.where("split = 'train'"), "mlp")
+    model = churn.fit_churn(parts.where("split = 'train'"), "network")
     threshold = churn.tune_threshold(churn.churn_probability(parts.where("split = 'val'"), model))
     out = churn.score_customers(parts.select("customer_id", "split", *churn.CUSTOMER_DEFAULTS), model, threshold)
     return out.select(
@@ -319,6 +319,14 @@ def churn_score(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("churn_history")
+def churn_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss and validation AUC of every epoch of the churn network."""
+    train = durable(_customer_parts(spark, folder).where("split = 'train'"))
+    history = churn.training_history(churn.fit_churn(train, "network"))
+    return history.select("epoch", r("loss", 6), r("val_score", 6))
+
+
 @query("churn_evaluation")
 def churn_evaluation(spark: SparkSession, folder: str) -> DataFrame:
     """Test metrics of the weighted linear baseline."""

@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 from dataclasses import fields
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from telequal.operators import churn
+from telequal.operators.network import Network
 from telequal.plans.train import ChurnRun, Detector, PanelForecast
 
 
@@ -38,14 +40,22 @@ def save_churn(run: ChurnRun, folder: str) -> None:
     """The churn model with its codes, scaling and threshold."""
     run.model.codes.write.mode("overwrite").parquet(f"{folder}/codes")
     run.model.scaler.write.mode("overwrite").parquet(f"{folder}/scaler")
-    PipelineModel([run.model.classifier]).write().overwrite().save(f"{folder}/classifier")
-    _write_settings(run.model.scaler.sparkSession, folder, {"threshold": run.threshold})
+    m, settings = run.model.classifier, {"threshold": run.threshold}
+    if isinstance(m, Network):
+        settings |= {"sizes": list(m.sizes), "weights": m.weights.tolist(), "history": [list(h) for h in m.history]}
+    else:
+        PipelineModel([m]).write().overwrite().save(f"{folder}/classifier")
+    _write_settings(run.model.scaler.sparkSession, folder, settings)
 
 
 def load_churn(spark: SparkSession, folder: str) -> tuple[churn.ChurnModel, float]:
-    classifier = PipelineModel.load(f"{folder}/classifier").stages[0]
+    s = _read_settings(spark, folder)
+    if "weights" in s:
+        classifier = Network(tuple(s["sizes"]), np.array(s["weights"]), tuple(tuple(h) for h in s["history"]))
+    else:
+        classifier = PipelineModel.load(f"{folder}/classifier").stages[0]
     codes, scaler = (spark.read.parquet(f"{folder}/{t}") for t in ("codes", "scaler"))
-    return churn.ChurnModel(codes, scaler, classifier), _read_settings(spark, folder)["threshold"]
+    return churn.ChurnModel(codes, scaler, classifier), s["threshold"]
 
 
 def save_forecast(panel: PanelForecast, folder: str) -> None:

@@ -9,8 +9,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from telequal.operators import anomaly, churn, evaluate, split, stats
-from telequal.plans import prepare, views
+from telequal.operators import anomaly, churn, evaluate, network, split, stats
+from telequal.plans import prepare, store, views
+from telequal.plans import train as train_plans
 from telequal.schemas import MODEM_FEATURES
 from telequal.session import durable
 from telequal.sources import sinks, tables
@@ -243,3 +244,69 @@ def test_report_metrics_and_csv_files(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
     assert spark.read.parquet(str(tmp_path / "pq")).count() == 2
     assert spark.read.json(str(tmp_path / "js")).count() == 2
+
+
+def test_gradient_is_the_slope_of_the_loss():
+    rng = np.random.default_rng(0)
+    sizes, x, y = (3, 5, 4, 1), rng.normal(size=(20, 3)), rng.integers(0, 2, 20).astype(float)
+    flat, weight = network.initial(sizes, 1), rng.uniform(0.5, 2, 20)
+    loss, grad = network.gradient(flat, sizes, x, y, weight)
+    for i in rng.choice(len(flat), 25, replace=False):
+        step = np.zeros(len(flat))
+        step[i] = 1e-6
+        up, down = (network.gradient(flat + d, sizes, x, y, weight)[0] for d in (step, -step))
+        assert grad[i] == pytest.approx((up - down) / 2e-6, abs=1e-6)
+
+
+def test_binned_auc_counts_ties_half():
+    counts = np.zeros((2, 4), np.int64)
+    counts[0, [0, 1]], counts[1, [1, 3]] = [2, 1], [1, 1]
+    assert network.binned_auc(counts) == pytest.approx((2 + 0.5 + 3) / 6)
+    assert network.binned_auc(np.zeros((2, 4), np.int64)) == 0.5
+
+
+def curved(spark, n=3000):
+    """A label no linear model can tell: inside or outside a ring."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(n, 2))
+    y = (np.abs(np.hypot(*x.T) - 1.2) < 0.45).astype(int)
+    return spark.createDataFrame(pd.DataFrame({"id": range(n), "a": x[:, 0], "b": x[:, 1], "y": y})).repartition(3)
+
+
+@pytest.mark.parametrize(("rows_per_task", "batch", "margin"), [(10_000, 32, 0.3), (150, 8, 0.2)])
+def test_network_learns_what_a_line_cannot(spark, monkeypatch, rows_per_task, batch, margin):
+    monkeypatch.setattr(network, "ROWS_PER_TASK", rows_per_task)
+    df = curved(spark)
+    x = F.array("a", "b")
+    fitted = network.fit_network(df.where("id % 5 > 0"), x, "y", ["id"], [16, 8], epochs=25, patience=25, rate=0.01, batch_rows=batch)
+    test = df.where("id % 5 = 0").withColumn("p", network.probability(fitted, x, spark))
+    line = df.where("id % 5 = 0").withColumn("p", F.col("a") + F.col("b"))
+    assert evaluate.roc_auc(test, "y", "p").first().auc > evaluate.roc_auc(line, "y", "p").first().auc + margin
+    assert fitted.history[-1][1] < fitted.history[0][1] and len(fitted.history) == 25
+    again = network.fit_network(df.where("id % 5 > 0").repartition(2), x, "y", ["id"], [16, 8], epochs=2, patience=25, rate=0.01, batch_rows=batch)
+    assert [h[1] for h in again.history] == pytest.approx([h[1] for h in fitted.history[:2]])
+
+
+def test_network_stops_early_and_needs_both_classes(spark):
+    rng = np.random.default_rng(4)
+    noise = spark.createDataFrame(pd.DataFrame({"id": range(400), "a": rng.normal(size=400), "y": rng.integers(0, 2, 400)}))
+    fitted = network.fit_network(noise, F.array("a"), "y", ["id"], [4], epochs=60, patience=3)
+    best = max(range(len(fitted.history)), key=lambda i: fitted.history[i][2])
+    assert len(fitted.history) < 60 and len(fitted.history) - 1 - best == 3
+    missing = noise.withColumn("p", network.probability(fitted, F.array(F.lit(None).cast("double")), spark))
+    assert missing.where("p IS NULL").count() == 400
+    with pytest.raises(ValueError, match="both classes"):
+        network.fit_network(noise.where("y = 1"), F.array("a"), "y", ["id"], [4])
+
+
+def test_churn_network_beats_the_line(spark, customers, tmp_path):
+    train, test = customers.where("split <> 'test'"), customers.where("split = 'test'")
+    m = churn.fit_churn(train, "network", max_iter=40)
+    auc = lambda x: evaluate.roc_auc(churn.churn_probability(test, x), "churn", "churn_prob").first().auc
+    history = churn.training_history(m).orderBy("epoch").collect()
+    assert history[-1].loss < history[0].loss and max(h.val_score for h in history) > 0.85
+    assert auc(m) > 0.85
+    run = train_plans.ChurnRun(m, 0.5, test, test)
+    store.save_churn(run, str(tmp_path / "n"))
+    loaded, threshold = store.load_churn(spark, str(tmp_path / "n"))
+    assert threshold == 0.5 and auc(loaded) == pytest.approx(auc(m))
