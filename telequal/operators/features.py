@@ -96,8 +96,8 @@ def rolling_baseline_seriesfill(
     ).select(*df.columns, mean, std)
 
 
-def lower_bound(mean: str = "base_mean", std: str = "base_std", sigmas: float = SIGMAS) -> Column:
-    return F.col(mean) - F.lit(float(sigmas)) * F.col(std)
+def lower_bound(mean: str = "base_mean", std: str = "base_std", sigmas: float | Column = SIGMAS) -> Column:
+    return F.col(mean) - (sigmas if isinstance(sigmas, Column) else F.lit(float(sigmas))) * F.col(std)
 
 
 def deviation_sigmas(col: str, mean: str = "base_mean", std: str = "base_std") -> Column:
@@ -106,9 +106,9 @@ def deviation_sigmas(col: str, mean: str = "base_mean", std: str = "base_std") -
 
 
 def sigma_breach(
-    df: DataFrame, col: str, mean: str = "base_mean", std: str = "base_std", sigmas: float = SIGMAS
+    df: DataFrame, col: str, mean: str = "base_mean", std: str = "base_std", sigmas: float | Column = SIGMAS
 ) -> DataFrame:
-    """Add lower_bound, deviation_sigmas and breach (1 when the value is below the bound)."""
+    """Add lower_bound, deviation_sigmas and breach (1 when the value is below the bound); ``sigmas`` may be a column."""
     return df.withColumns(
         {
             "lower_bound": lower_bound(mean, std, sigmas),

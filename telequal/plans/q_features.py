@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from telequal.functions import rules
 from telequal.functions.calendar import calendar_features as calendar_columns
-from telequal.operators import features
+from telequal.operators import features, incremental, requests
 from telequal.operators.panel import measure
 from telequal.plans import views
 from telequal.plans.registry import query, r, sql
+from telequal.session import scratch_path
+from telequal.sources.sinks import write_by_date
 
 ORDER = ("ts", "seq")
 _W = "(PARTITION BY entity ORDER BY ts, seq ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)"
@@ -110,6 +112,40 @@ def sigma_breach(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("seq", r("lower_bound"), r("deviation_sigmas"), "breach")
 
 
+_ASKED = """SELECT seq, CASE WHEN seq % 97 = 0 THEN NULL ELSE signal END AS x, seq % 97 = 0 AS bad,
+                    coalesce(wm, 75) AS m, coalesce(ws, 5) AS s,
+                    CASE kind WHEN 'error' THEN 2.0::DOUBLE WHEN 'purchase' THEN 3.0::DOUBLE ELSE 1.5::DOUBLE END AS k FROM b"""
+
+
+@query(
+    "sigma_breach_by_request",
+    sql(
+        """SELECT seq, CASE WHEN NOT bad THEN x < m - k * s END AS is_breach, CASE WHEN NOT bad THEN x END AS current_score,
+                  CASE WHEN NOT bad THEN round(m - k * s, 2) END AS lower_bound,
+                  CASE WHEN NOT bad THEN round((m - x) / (s + 1e-6), 2) END AS deviation_sigmas,
+                  CASE WHEN NOT bad THEN k END AS sigma_threshold,
+                  CASE WHEN bad THEN 'wifi_experience_score is not a valid number' END AS error
+           FROM q""",
+        "tele",
+        b=_BASE,
+        q=_ASKED,
+    ),
+)
+def sigma_breach_by_request(spark: SparkSession, folder: str) -> DataFrame:
+    """Each reading as a request with its own limit; what it leaves out takes the default."""
+    t = views.tele(spark, folder)
+    based = features.rolling_baseline(t, panel(t), "signal")
+    known = F.count("signal").over(Window.partitionBy("entity").orderBy(*ORDER).rowsBetween(-167, 0)) >= 24
+    asked = based.select(
+        "seq",
+        F.when(F.col("seq") % 97 == 0, "n/a").otherwise(F.col("signal").cast("string")).alias("wifi_experience_score"),
+        F.when(known, F.col("base_mean")).alias("rolling_mean_7d"),
+        F.when(known, F.col("base_std")).alias("rolling_std_7d"),
+        F.when(F.col("kind") == "error", 2.0).when(F.col("kind") != "purchase", 1.5).alias("sigma_threshold"),
+    )
+    return requests.score_wifi_requests(asked)
+
+
 @query(
     "sigma_state",
     sql(
@@ -224,3 +260,30 @@ def signal_score_rules(spark: SparkSession, folder: str) -> DataFrame:
     return t.withColumn("s", score).select(
         "seq", r("s", 4, "score"), rules.severity_band(F.col("s"), rules.SIGNAL_THRESHOLD).alias("severity")
     )
+
+
+_FILLED = "last_value({c} IGNORE NULLS) OVER (PARTITION BY entity ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS {c}"
+
+
+@query(
+    "incremental_baseline",
+    sql(
+        """SELECT seq, round(signal, 4) AS signal, round(aux, 4) AS aux, round(coalesce(wm, signal), 4) AS base_mean,
+                  round(coalesce(ws, 1), 4) AS base_std FROM b""",
+        "telen",
+        f=f"SELECT entity, ts, seq, {_FILLED.format(c='signal')}, {_FILLED.format(c='aux')} FROM telen",
+        b=_BASE.replace("FROM tele", "FROM f"),
+    ),
+)
+def incremental_baseline(spark: SparkSession, folder: str) -> DataFrame:
+    """All readings in three runs by date, each from the tail of the one before, appended by date; equals one batch."""
+    t = views.tele_nulled(spark, folder).select("entity", "ts", "seq", "signal", "aux")
+    ends = t.agg(F.unix_date(F.to_date(F.min("ts"))).alias("a"), F.unix_date(F.to_date(F.max("ts"))).alias("b")).first()
+    day, step = F.unix_date(F.to_date("ts")), (ends["b"] - ends["a"]) // 3 + 1
+    path, carried = scratch_path(spark, "prepared"), None
+    for k in range(3):
+        first = ends["a"] + k * step
+        part = t.where((day >= first) & (day < first + step))
+        prepared, carried = incremental.advance(part, carried, "entity", ORDER, ["signal", "aux"], "signal")
+        write_by_date(prepared, path, "ts")
+    return spark.read.parquet(path).select("seq", r("signal"), r("aux"), r("base_mean"), r("base_std"))

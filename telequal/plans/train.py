@@ -8,10 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from telequal.functions.numbers import steady_round
 from telequal.functions.rules import severity_band
 from telequal.operators import anomaly, churn, evaluate, forecast, neighbours, stats
 from telequal.operators.ordered import fitted_row, number
-from telequal.schemas import CHURN_FEATURES, IF_SAMPLE, IF_TREES, LOF_NEIGHBOURS, MODEM_FEATURES
+from telequal.operators.requests import completed
+from telequal.schemas import CHURN_FEATURES, IF_SAMPLE, IF_TREES, LOF_NEIGHBOURS, MODEM_DEFAULTS, MODEM_FEATURES
 from telequal.session import durable
 
 
@@ -67,6 +69,26 @@ def detect(df: DataFrame, d: Detector, threshold: float | None = None) -> DataFr
     )
 
 
+def score_modem_requests(requests: DataFrame, d: Detector, threshold: float) -> DataFrame:
+    """Score, decision and severity of each reading; absent fields get the defaults of a normal modem.
+
+    Columns: those of ``requests`` that are no fields, then ``anomaly_score``, ``is_anomaly``, ``threshold``, ``severity`` and
+    ``error``; a request with an error has nulls.
+    """
+    defaults = {f: MODEM_DEFAULTS.get(f, 0.0) for f in d.features}
+    full = completed(requests, defaults)
+    ok = F.col("error").isNull()
+    judged = detect(full, d, threshold)
+    return judged.select(
+        *[c for c in requests.columns if c not in defaults],
+        F.when(ok, steady_round(F.col("ensemble"), 4)).alias("anomaly_score"),
+        F.when(ok, F.col("is_anomaly")).alias("is_anomaly"),
+        F.lit(round(threshold, 4)).alias("threshold"),
+        F.when(ok, F.col("severity")).alias("severity"),
+        "error",
+    )
+
+
 def tune_detector(validation: DataFrame, d: Detector, label: str) -> float:
     """The ensemble threshold of best F1 on labelled validation rows (never on test rows)."""
     scored = durable(detect(validation, d).select(label, "ensemble"))

@@ -129,7 +129,12 @@ CUSTOMER_NUMBERS = [
     "wifi_breach_count_30d",
     "days_since_last_anomaly",
 ]
-NETWORK_COLUMNS = CUSTOMER_NUMBERS[6:]
+NETWORK_COLUMNS = [
+    "anomaly_count_30d",
+    "anomaly_severity_score",
+    "wifi_breach_count_30d",
+    "days_since_last_anomaly",
+]
 CHURN_FEATURES = [c for c in CUSTOMER_CATEGORIES + CUSTOMER_NUMBERS if c != "anomaly_severity_score"]
 # Values assumed for fields a scoring request leaves out.
 CUSTOMER_DEFAULTS = {
@@ -147,6 +152,25 @@ CUSTOMER_DEFAULTS = {
     "days_since_last_anomaly": 90,
 }
 
+MODEM_DEFAULTS = {
+    "ds_power_level_dbmv": 0.5,
+    "us_power_level_dbmv": 38.0,
+    "ds_snr_db": 38.0,
+    "us_mer_db": 36.0,
+    "ds_channel_utilization_pct": 55.0,
+    "us_channel_utilization_pct": 40.0,
+    "ds_power_rolling_std_1h": 0.1,
+    "snr_drop_rate_per_hour": 0.0,
+    "us_ds_power_delta": 0.0,
+    "channel_util_peak_hour_flag": 0,
+}
+WIFI_DEFAULTS = {
+    "wifi_experience_score": 75.0,
+    "rolling_mean_7d": 75.0,
+    "rolling_std_7d": 5.0,
+    "sigma_threshold": 3.0,
+}
+
 IF_TREES, IF_SAMPLE, LOF_NEIGHBOURS = 200, 256, 20
 IF_WEIGHT, LOF_WEIGHT = 0.60, 0.40
 ANOMALY_SHARE = 0.88

@@ -36,6 +36,16 @@ def test_detector_run(spark, tmp_path):
     store.save_detector(d, str(tmp_path / "d"), tuned)
     loaded, kept = store.load_detector(spark.newSession(), str(tmp_path / "d"))
     assert kept == tuned
+    asked = test.select("k", F.when(F.col("k") % 7 == 0, "?").otherwise(F.col("a").cast("string")).alias("a"), "b")
+    answers = {r.k: r for r in train.score_modem_requests(asked, d, threshold).collect()}
+    filled = train.detect(test.withColumn("c", F.lit(0.0)), d, threshold).collect()  # c is left out: its default
+    assert len(answers) == len(filled) and list(answers[filled[0].k].asDict()) == ["k", "anomaly_score", "is_anomaly", "threshold", "severity", "error"]
+    for r in filled:
+        got = answers[r.k]
+        if r.k % 7 == 0:
+            assert got.error == "a is not a valid number" and got.anomaly_score is None and got.is_anomaly is None
+        else:
+            assert abs(got.anomaly_score - r.ensemble) < 1e-4 and (got.severity, got.is_anomaly) == (r.severity, r.is_anomaly)
     both = train.detect(test, loaded).select("k", F.col("ensemble").alias("e")).join(scored, "k")
     assert both.where("abs(e - ensemble) < 1e-12").count() == test.count()
     store.write_detector_outputs(scored, train.evaluate_detector(scored, "y", threshold), str(tmp_path / "out"))
