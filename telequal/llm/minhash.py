@@ -9,8 +9,12 @@
    estimate with a margin of six standard errors, and then the exact test on the full sets.
 5. Keys whose members then still lie in different components are looked at again, so that no link between members of
    two components is lost: small ones pair by pair; the documents of large ones (texts that share a passage but little
-   else) get new keys from ``WIDE_BANDS`` wider bands, which such texts do not share, and go through 4 and 5 again.
-   Pairs within a component are never formed.
+   else, families of texts around the limit) get new keys, the rarest shingles of each with a class of set sizes.
+   Order all shingles by rarity.  The first shingle that two similar sets share is the i-th of one and the j-th of the
+   other, and no more can follow than the rest of either, so both places are low; a text is listed under the shingles
+   whose places allow partners of its own size or more, and asks under those that allow smaller ones, for these sizes
+   only.  Sets that share common shingles alone, each behind many rare ones of its own, do not meet.  No link is lost.
+   Pairs within a component are never compared, and the largest component of a key is not met with itself.
 
 A copy group of any size costs one comparison per member and band key, and no step gathers a group in one task.
 """
@@ -33,8 +37,12 @@ MANTISSA_BITS = 10
 MISS = 1e-7
 #: A key with more members, of several components, is large.
 LARGE_KEY = 24
-WIDE_BANDS = 320
-WIDE_MATCH = 0.07
+#: Bins in which shingles of the documents of large keys are counted, to tell rare ones.
+RARITY_BINS = 1 << 20
+#: Ratio between the classes of set sizes.
+SIZE_STEP = 1.04
+#: Bytes of Arrow batches that hold whole texts of pairs.
+PAIR_BYTES = 8 << 20
 #: Most ids sent to a scan.
 MOST_SENT = 1_000_000
 
@@ -48,14 +56,10 @@ def bands_for(similarity: float) -> tuple[int, int]:
     return REGISTERS, 1
 
 
-def band_registers(similarity: float, wide: bool) -> np.ndarray:
-    """The registers of each band: consecutive ones, or for wide bands a fixed random choice."""
-    if not wide:
-        bands, rows = bands_for(similarity)
-        return np.arange(bands * rows).reshape(bands, rows)
-    rows = max(1, int(np.log(WIDE_MATCH) / np.log(similarity)))
-    draw = np.random.default_rng(1)
-    return np.stack([draw.choice(REGISTERS, rows, replace=False) for _ in range(WIDE_BANDS)])
+def band_registers(similarity: float) -> np.ndarray:
+    """The registers of each band."""
+    bands, rows = bands_for(similarity)
+    return np.arange(bands * rows).reshape(bands, rows)
 
 
 def shingles(block: tx.Block, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +177,64 @@ def _band_keys(rows: DataFrame, registers_of: np.ndarray) -> DataFrame:
                     [pa.array(key.ravel().view(np.int64)), batch.column("id").take(row)], names=["key", "id"]
                 )
 
-    return rows.mapInArrow(run, "key long, id long")
+    return rows.mapInArrow(run, "key long, id long").select("key", "id", F.lit(0).alias("role"), F.lit(0).alias("place"))
+
+
+def _size_class(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(np.maximum(n, 1)) / np.log(SIZE_STEP)).astype(np.int64)
+
+
+def _rare_keys(texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """A row (``key``, ``id``, ``role``, ``place``) per rare shingle and class of set sizes.
+
+    ``role`` 1 lists a text under its own size, ``role`` 2 asks for partners of its size or less; ``place`` is the
+    shingle's place in the text by rarity.  Any one order of all shingles gives the same links.  Rare first keeps groups
+    small, so rarity is counted in ``RARITY_BINS`` bins over all these texts, a table of fixed size.
+    """
+    p, shift = round(similarity * 100), np.uint64(65 - RARITY_BINS.bit_length())
+
+    def count(batches):
+        found = np.zeros(RARITY_BINS, np.int64)
+        for block in tx.blocks(batches):
+            gram, _ = shingles(block, width)
+            found += np.bincount((gram >> shift).astype(np.int64), minlength=RARITY_BINS)
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_pydict({"bin": pa.array(at, pa.int32()), "n": pa.array(found[at])})
+
+    rarity = np.zeros(RARITY_BINS, np.int64)
+    counts = texts.select("text").mapInArrow(count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    rarity[counts.column("bin").to_numpy()] = counts.column("n").to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(rarity)
+
+    def run(batches):
+        for block in tx.blocks(batches):
+            gram, owner = shingles(block, width)
+            order = np.lexsort((gram, shared.value[(gram >> shift).astype(np.int64)], owner))
+            gram, owner = gram[order], owner[order]
+            at = tx.offsets(owner, len(block))
+            size = np.diff(at)[owner]
+            place = np.arange(len(owner)) - at[owner]
+            left = size - place  # shingles from here on
+            # Sets of m and n shingles are similar if they share p / (100 + p) * (m + n).
+            listed = np.flatnonzero((100 + p) * left >= 2 * p * size)
+            largest = np.minimum(size, (100 + p) * left // p - size)
+            least = -(-p * size // 100)
+            asks = np.flatnonzero(largest >= least)
+            low, high = _size_class(least[asks]), _size_class(largest[asks])
+            classes, of = tx.expand(low, high - low + 1)
+            entry = np.concatenate((listed, asks[of]))
+            of_size = np.concatenate((_size_class(size[listed]), classes))
+            key = tx.mix(gram[entry] ^ tx.mix(of_size.astype(np.uint64) + np.uint64(1)))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "key": pa.array(key.view(np.int64)),
+                    "id": block.batch.column("id").take(pa.array(owner[entry])),
+                    "role": pa.array(np.repeat([1, 2], [len(listed), len(of)]), pa.int32()),
+                    "place": pa.array(place[entry], pa.int32()),
+                }
+            )
+
+    return texts.select("id", "text").mapInArrow(run, "key long, id long, role int, place int")
 
 
 def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: float, width: int) -> DataFrame:
@@ -217,7 +278,8 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: fl
     wanted = durable(docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi"))
     text = lambda s: wanted.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}"))
     found = likely.join(text("a"), "a").join(text("b"), "b").mapInArrow(exact, "a long, b long")
-    return durable(found.distinct())
+    with tx.batches_of(docs.sparkSession, PAIR_BYTES):
+        return durable(found.distinct())
 
 
 def _text_pairs(whole: pa.RecordBatch):
@@ -236,7 +298,6 @@ def classes(docs: DataFrame, width: int = 3, similarity: float = 0.85) -> DataFr
     component of the smallest of their texts' classes.  An empty table gives an empty result.  Only ``doc_id`` and
     ``text`` are read; other columns are ignored.
     """
-    size_ok = f"{round(similarity * 100)} * greatest(n_a, n_b) <= 100 * least(n_a, n_b)"
     sketches = durable(sketched(docs, width))
     full = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
     groups = durable(
@@ -247,34 +308,43 @@ def classes(docs: DataFrame, width: int = 3, similarity: float = 0.85) -> DataFr
         .select("id", F.col("n_shingles").alias("n"), "sketch")
         .where(F.col("n") >= int(similarity / (1 - similarity)))  # a smaller set is similar to itself only
     )
-    among, links = reps, None
-    for wide in (False, True):
-        keys = _band_keys(among, band_registers(similarity, wide))
+    keys, links, n_of = _band_keys(reps, band_registers(similarity)), None, reps.select("id", "n")
+    percent = round(similarity * 100)
+    for last in (False, True):
         shared = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("lead")).where("size > 1")
         met = durable(keys.join(shared.select("key", "lead"), "key"))
-        star = met.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-        found = _verified(star, reps, docs, similarity, width)
-        links = found if links is None else links.union(found)
+        if links is None:
+            star = met.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+            links = _verified(star, reps, docs, similarity, width)
         roots = components(links)
-        placed = met.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
-            "key", "id", "lead", F.coalesce("root", "id").alias("root")
+        placed = met.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        # Keys of several components, with the largest one of each.
+        of_root = placed.groupBy("key", "root").agg(F.count("*").alias("c"))
+        mixed = of_root.groupBy("key").agg(F.sum("c").alias("size"), F.count("*").alias("n_roots"), F.max_by("root", "c").alias("top"))
+        open_ = durable(placed.join(mixed.where("n_roots > 1 AND size > 2" if not last else "n_roots > 1").select("key", "size", "top"), "key"))
+        small = open_ if last else open_.where(F.col("size") <= LARGE_KEY)
+        small = durable(small.join(n_of, "id"))
+        listed = small.where("role < 2").select(
+            "key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), F.col("place").alias("i"), "lead", "top"
+        )
+        asking = small.where("role != 1").select(
+            "key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("place").alias("j"),
+            F.col("top").alias("top_b"),
+        )
+        fits = f"{100 + percent} * least(n_a - i, n_b - j) >= {percent} * (n_a + n_b) AND root_a != root_b AND " + (
+            "n_a <= n_b" if last else "(n_a < n_b OR n_a = n_b AND a < b) AND a != lead AND b != lead"
         )
-        mixed = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-        open_ = durable(placed.join(mixed.where("lo < hi AND size > 2").select("key", "size"), "key"))
-        small = open_ if wide else open_.where(F.col("size") <= LARGE_KEY)
-        small = durable(small.join(reps.select("id", "n"), "id"))
-        one = small.select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), "lead")
-        two = small.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-        cross = (
-            one.join(two, "key").where("a < b AND root_a != root_b AND a != lead").where(size_ok)
-            .select("a", "b").distinct()
+        pairs = listed.where("root_a != top").join(asking.drop("top_b"), "key").where(fits).unionByName(
+            listed.where("root_a = top").join(asking.where("root_b != top_b").drop("top_b"), "key").where(fits)
         )
-        more = _verified(cross, reps, docs, similarity, width)
-        links = links.union(more)
+        cross = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = links.union(_verified(cross, reps, docs, similarity, width))
         large = open_.where(F.col("size") > LARGE_KEY).select("id").distinct()
-        if wide or large.isEmpty():
+        if last or large.isEmpty():
             break
-        among = durable(reps.join(large, "id", "left_semi"))
+        ids = broadcast_if_small(large.select(F.col("id").alias("doc_id")), MOST_SENT)
+        texts = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi")
+        keys = _rare_keys(durable(texts.select(F.col("doc_id").alias("id"), "text")), width, similarity)
     roots = components(links)
     ids = groups.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "k1", "k2", "n_shingles", F.coalesce("root", "id").alias("component_id")

@@ -43,6 +43,29 @@ def test_links_between_members_of_a_large_key_are_not_lost(spark, monkeypatch):
     assert got == brute.components(texts, 3, 85)
 
 
+@pytest.mark.parametrize("size", [60, 240])
+def test_looks_at_families_below_the_limit_grow_in_proportion(spark, monkeypatch, size):
+    """Texts of one family, each just too far from every other, and a few real links among them."""
+    monkeypatch.setattr(minhash, "LARGE_KEY", 6)
+    r = random.Random(size)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    core = [word() for _ in range(300)]
+    texts = {}
+    for k in range(size):
+        mine = list(core)
+        for at in r.sample(range(0, 300, 3), 14):
+            mine[at] = word()
+        texts[k] = " ".join(mine)
+    for k in range(0, size, 20):
+        texts[1000 + k] = texts[k] + " " + word()
+    looked, verified = [], minhash._verified
+    monkeypatch.setattr(minhash, "_verified", lambda p, *a: looked.append(p.count()) or verified(p, *a))
+    got = {i: (x["n_shingles"], x["component_id"]) for i, x in by_id(
+        minhash.classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 3, 0.85)).items()}
+    assert got == brute.components(texts, 3, 85)
+    assert sum(looked) < 40 * len(texts)
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7), (61, 60)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
