@@ -22,6 +22,8 @@ DRAW_MARGIN = 1.5
 EULER_GAMMA = 0.5772156649015329
 # Offsets of the seed, so that drawing, dealing, ranking and cutting are shuffled differently.
 DRAW, DEAL, RANK, PICK, CUT, PERMUTE = 1, 1_000, 100_000, 7, 8, 9
+# Features whose differences one whole number marks.
+MASK_BITS = 60
 # Numbers of nodes of one tree, below any of the next.
 TREE_STEP = 1_000_003
 
@@ -81,16 +83,24 @@ def _grown(rows: DataFrame, width: int, sample: int, seed: int) -> DataFrame:
     size = F.count(F.lit(1)).over(whole)
     grown = rows.withColumns({"_limit": F.ceil(F.log2(F.greatest(size, F.lit(2)))), "node": F.lit(1), "_path": nothing})
     w = Window.partitionBy("tree", "node")
+    features = [F.sequence(F.lit(k), F.lit(min(k + MASK_BITS, width) - 1)) for k in range(0, width, MASK_BITS)]
+
+    def bit(i: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), i % MASK_BITS)
+
+    def differs(mask: Column, i: Column) -> Column:
+        return mask.bitwiseOR(F.when(F.get("x", i) != F.get("_one", i), bit(i)).otherwise(F.lit(0).cast("bigint")))
+
     for level in range(int(np.ceil(np.log2(max(sample, 2)))) + 1):
         at = F.col("tree").cast("bigint") * TREE_STEP + F.col("node")
-        grown = grown.withColumns(
-            {
-                "_n": F.count(F.lit(1)).over(w),
-                "_lo": F.array(*[F.min(F.get("x", F.lit(i))).over(w) for i in range(width)]),
-                "_hi": F.array(*[F.max(F.get("x", F.lit(i))).over(w) for i in range(width)]),
-            }
+        # A feature can be cut if some row of the node differs in it from any one row: a bit per feature, whatever their number.
+        grown = grown.withColumns({"_n": F.count(F.lit(1)).over(w), "_one": F.first("x").over(w)})
+        masks = [F.bit_or(F.aggregate(f, F.lit(0).cast("bigint"), differs)).over(w) for f in features]
+        grown = grown.withColumn("_masks", F.array(*masks))
+        live = F.filter(
+            F.sequence(F.lit(0), F.lit(width - 1)),
+            lambda i: F.get("_masks", F.floor(i / MASK_BITS).cast("int")).bitwiseAND(bit(i)) != 0,
         )
-        live = F.filter(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.get("_hi", i) > F.get("_lo", i))
         grown = grown.withColumn("_live", live).withColumn(
             "_f",
             F.when(
@@ -98,8 +108,10 @@ def _grown(rows: DataFrame, width: int, sample: int, seed: int) -> DataFrame:
                 F.get("_live", (mix(at, seed + PICK) % F.greatest(F.size("_live"), F.lit(1))).cast("int")),
             ),
         )
+        own = F.get("x", F.col("_f"))
+        grown = grown.withColumns({"_lo": F.min(own).over(w), "_hi": F.max(own).over(w)})
         share = mix(at, seed + CUT) / F.lit(float(MIX_PRIME))
-        grown = grown.withColumn("_c", F.get("_lo", F.col("_f")) + (F.get("_hi", F.col("_f")) - F.get("_lo", F.col("_f"))) * share)
+        grown = grown.withColumn("_c", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * share)
         step = F.struct("node", F.col("_n").alias("n"), F.col("_f").alias("feature"), F.col("_c").alias("cut"))
         grown = grown.withColumns(
             {
@@ -109,7 +121,7 @@ def _grown(rows: DataFrame, width: int, sample: int, seed: int) -> DataFrame:
                     F.col("node") * 2 + F.when(F.get("x", F.col("_f")) <= F.col("_c"), 0).otherwise(1),
                 ),
             }
-        ).drop("_n", "_lo", "_hi", "_live", "_f", "_c")
+        ).drop("_n", "_one", "_masks", "_lo", "_hi", "_live", "_f", "_c")
     return grown.select("tree", "_path")
 
 
