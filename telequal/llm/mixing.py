@@ -162,5 +162,5 @@ def mixed(docs: DataFrame, labels: DataFrame, targets=TARGETS, keep_text: bool =
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("copies")), F.lit(1 << 30)) / float(1 << 30)
     out = members.withColumn("rate", rate_of(fitted))
     out = out.withColumn("copies", F.floor(F.col("rate") + draw).cast("long"))
-    kept = [c for c in docs.columns if c not in ("tokens", "rate", "copies") and (keep_text or c != "text")]
+    kept = [c for c in docs.columns if c not in ("tokens", "posterior", "rate", "copies") and (keep_text or c != "text")]
     return out.select(*[F.col(own.get(c, c)).alias(c) for c in kept], "tokens", "posterior", "rate", "copies")

@@ -39,6 +39,7 @@ def test_toxicity(odd, none, labels, docs):
 def test_mixing(odd, none, labels):
     got = mixing.mixed(odd, labels)
     assert got.count() == odd.count() and got.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert len(set(got.columns)) == len(got.columns) and got.schema["posterior"].dataType.typeName() == "array"
     assert mixing.mixed(none, labels).count() == 0
     assert mixing.mixed(odd, labels.limit(0)).count() == odd.count()
 
@@ -70,6 +71,16 @@ def test_repeats(odd, none):
     assert repeats.cut_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("size", [8 << 20, 10])
+def test_items_of_one_id_are_one(spark, size):
+    words = [f"w{i}" for i in range(40)]
+    items = [(7, " ".join(words[:15])), (7, " ".join(words[15:30])), (7, " ".join(words[:15])), (8, " ".join(words[25:]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    got = decontaminate.search(docs, bench, block_bytes=size).first()
+    assert sorted(got["items"]) == ["7", "8"] and [tuple(x) for x in got["spans"]] == [(0, 40)]
+
+
 def test_benchmark(odd, none, bench):
     got = decontaminate.search(odd, bench)
     assert got.count() == odd.count()
