@@ -121,3 +121,20 @@ def test_pipeline_keeps_clean_documents(spark, labels):
     docs = spark.read.parquet(f"{DIR}/documents.parquet")
     assert 0 < out.count() <= docs.count()
     assert out.select("doc_id").distinct().count() == out.count()
+
+
+def test_no_passage_of_over_fifty_words_is_left_in_two_documents(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    one = corpus_pipeline.near_duplicate_stage(spark, docs, DIR)
+    cut = corpus_pipeline.repeat_stage(spark, one, DIR)
+    assert cut.columns == docs.columns
+
+    def shared(df):
+        seen = {}
+        for r in df.select("doc_id", "text").collect():
+            words = (r["text"] or "").split()
+            for i in range(len(words) - 50):
+                seen.setdefault(tuple(words[i : i + 51]), set()).add(r["doc_id"])
+        return sum(len(x) > 1 for x in seen.values())
+
+    assert shared(one) > 0 and shared(cut) == 0
