@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from telequal.llm import decontaminate, minhash, mixing, quality, repeats
 from telequal.session import scratch_path
 
+#: Bytes of a repeated passage that the third stage cuts: passages of over 50 words are longer in every language here.
+REPEAT_BYTES = 200
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -29,7 +32,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the later copies of repeated passages; ``n_chars`` follows the text."""
-    cut = repeats.cut_repeats(docs, keep_first=True)
+    cut = repeats.cut_repeats(docs, REPEAT_BYTES, keep_first=True)
     return cut.selectExpr(*["length(text) AS n_chars" if c == "n_chars" else f"`{c}`" for c in docs.columns]).selectExpr(
         *[f"CAST(`{c}` AS {docs.schema[c].dataType.simpleString()}) AS `{c}`" for c in docs.columns]
     )
@@ -41,7 +44,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the rate at which the mixture uses them; those of rate 0 go."""
+    """All documents, with the rate at which the mixture uses them."""
     return mixing.mixed(docs, _table(spark, sf_dir, "labels"))
 
 
