@@ -9,7 +9,7 @@ character language model and the channel's costs like best is the restored word
 that nearly all tokens cost a look-up.
 
 The character model and a lexicon of frequent words, which decides between two readings of a token's edges, are
-learned from the training documents.  The word model is naive Bayes over the
+learned from all training documents.  The word model is naive Bayes over the
 presence of restored words and of their stems of four and five letters, over features that differ clearly between
 the classes, calibrated on training rows.  Both are bounded tables.
 """
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable
 
 import numpy as np
@@ -25,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from telequal.session import broadcast_if_small, durable
+
 #: Letters that a character stands for in leetspeak.
 LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -34,7 +37,6 @@ FILLERS = "*.-_~'`^:,;/\\#%&?"
 COST_LEET, COST_FILLER, COST_MERGE, COST_JOIN = 1.0, 1.5, 0.7, 0.5
 #: A word of the lexicon costs this share of its letters' cost in a spaced run.
 KNOWN = 0.5
-TRAIN_ROWS = 20_000
 FEATURES = 4_000
 BIGRAMS = 4_000
 LEXICON = 20_000
@@ -240,19 +242,20 @@ def in_fold(fold: int, of: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of)) == fold
 
 
-def _training(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    usable = labels.dropna(subset=["doc_id", "toxic"]).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").drop("doc_id")
+def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``text`` and ``toxic`` of every document that ``labels`` marks; labels go to all executors only while they are few."""
+    chosen = broadcast_if_small(_marks(labels))
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id").drop("doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:
-    """Character pairs, feature weights and calibration, from at most ``rows`` labelled documents.
+def _marks(labels: DataFrame) -> DataFrame:
+    return labels.dropna(subset=["doc_id", "toxic"]).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
-    Without both classes every text gets the share of toxic rows (0 without any) as its score."""
-    train = _training(docs, labels, rows).persist()
+
+def _learned(train: DataFrame) -> dict:
+    """Character pairs, lexicon and feature weights from all rows of ``train``; not calibrated."""
     letters = F.explode(F.split(F.lower("text"), "[^\\p{L}]+")).alias("w")
-    words = train.select(letters).where("w != ''").groupBy("w").count()
+    words = durable(train.select(letters).where("w != ''").groupBy("w").count())
     lexicon = [r["w"] for r in words.where("length(w) > 2").orderBy(F.desc("count"), "w").limit(LEXICON).collect()]
     pairs = (
         words.select(F.explode(F.transform(F.sequence(F.lit(0), F.length("w")), lambda i: F.substr(F.concat(F.lit(" "), "w", F.lit(" ")), i + 1, F.lit(2)))).alias("p"), "count")
@@ -262,14 +265,22 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:
 
     def held(batches):
         restore = Restorer(CharModel(chars, lexicon))
+        known: dict[str, tuple[str, ...]] = {}
         for batch in batches:
-            texts, labels_ = batch.column("text").to_pylist(), batch.column("toxic").to_pylist()
-            seen: dict[str, list[int]] = {}
-            for t, y in zip(texts, labels_):
-                for f in {f for x in restore.words(t) for f in features(x)}:
-                    seen.setdefault(f, [0, 0])[int(bool(y))] += 1
+            seen = Counter(), Counter()
+            for t, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                found: set[str] = set()
+                for x in restore.raw(t):
+                    got = known.get(x)
+                    if got is None:
+                        if len(known) >= _MEMO:
+                            known.clear()
+                        known[x] = got = features(restore.token(x))
+                    found.update(got)
+                seen[bool(y)].update(found)
+            names = list(seen[0] | seen[1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), pa.array([x[0] for x in seen.values()], pa.int64()), pa.array([x[1] for x in seen.values()], pa.int64())],
+                [pa.array(names, pa.string()), *[pa.array([c[f] for f in names], pa.int64()) for c in seen]],
                 names=["f", "clean", "toxic"],
             )
 
@@ -286,16 +297,38 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:
         .orderBy(F.desc(F.col("lift") * F.sqrt("toxic")), "f").limit(FEATURES)
     )
     weights = {r["f"]: r["lift"] for r in best.collect()}  # at most FEATURES rows
-    model = {"chars": chars, "lexicon": lexicon, "weights": weights, "n": (n0, n1), "slope": 1.0, "base": 0.0}
-    if n0 and n1:
-        totals = train.mapInArrow(_scorer(model, raw=True), "score double, toxic int").groupBy(
-            F.round("score", 1).alias("s")
-        ).agg(F.count("*").alias("n"), F.sum(F.col("toxic").cast("int")).alias("y")).collect()  # few rounded values
+    return {"chars": chars, "lexicon": lexicon, "weights": weights, "n": (n0, n1), "slope": 1.0, "base": 0.0}
+
+
+def _calibrate(model: dict, judged: DataFrame) -> dict:
+    """The model with the line through the raw scores (``raw``) of all training rows (``toxic``)."""
+    if all(model["n"]):
+        totals = judged.groupBy(F.round("raw", 1).alias("s")).agg(
+            F.count("*").alias("n"), F.sum(F.col("toxic").cast("int")).alias("y")
+        ).collect()  # few rounded values
         model["slope"], model["base"] = _calibrated([(r["s"], r["n"], r["y"]) for r in totals])
-    train.unpersist()
     return model
 
 
+def fit(docs: DataFrame, labels: DataFrame) -> dict:
+    """Character pairs, feature weights and calibration, from every labelled document.
+
+    Without both classes every text gets the share of toxic rows (0 without any) as its score."""
+    train = durable(_training(docs, labels))
+    model = _learned(train)
+    return _calibrate(model, train.mapInArrow(_scorer(model, ["toxic"]), f"toxic {train.schema['toxic'].dataType.simpleString()}, raw double"))
+
+
+def fit_and_score(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """What ``scored(docs, fit(docs, labels), carry)`` gives, with each text read once less: training rows are
+    calibrated by the raw scores that the result is made of."""
+    model = _learned(durable(_training(docs, labels)))
+    names = [c for c in (docs.columns if carry is None else carry) if c != "score"]
+    raw = durable(_raw(docs.select(*[F.col(c).alias(f"_{c}") for c in names], "doc_id", "text"), model, [*[f"_{c}" for c in names], "doc_id"]))
+    model = _calibrate(model, raw.join(_marks(labels), "doc_id"))
+    return raw.select(*[F.col(f"_{c}").alias(c) for c in names], _probability(model).alias("score"))
+
+
 def _calibrated(points: list[tuple[float, int, int]]) -> tuple[float, float]:
     """Logistic line through the raw scores, by damped Newton steps."""
     s, n, y = (np.array(x, float) for x in zip(*points))
@@ -313,9 +346,8 @@ def _calibrated(points: list[tuple[float, int, int]]) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def _scorer(model: dict, raw: bool = False, names: list[str] | None = None):
-    n0, n1 = model["n"]
-    flat = n1 / (n0 + n1) if n0 + n1 else 0.0
+def _scorer(model: dict, names: list[str]):
+    """Task function: the columns ``names`` and the sum of the weights of the features that a text has, ``raw``."""
 
     def run(batches):
         restore = Restorer(CharModel(model["chars"], model["lexicon"]))
@@ -338,19 +370,26 @@ def _scorer(model: dict, raw: bool = False, names: list[str] | None = None):
                         got = hits(x)
                     if got:
                         found.update(got)
-                s = sum(sorted(weights[f] for f in found))
-                if not raw:
-                    s = 1 / (1 + math.exp(-max(-30.0, min(30.0, model["slope"] * s + model["base"])))) if n0 and n1 else flat
-                scores.append(s)
-            out = pa.array(scores, pa.float64())
-            if raw:
-                yield pa.RecordBatch.from_arrays([out, batch.column("toxic").cast(pa.int32())], names=["score", "toxic"])
-            else:
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], out], names=[*names, "score"])
+                scores.append(float(sum(sorted(weights[f] for f in found))))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(scores, pa.float64())], names=[*names, "raw"])
 
     return run
 
 
+def _raw(docs: DataFrame, model: dict, names: list[str]) -> DataFrame:
+    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in names)
+    return docs.mapInArrow(_scorer(model, names), f"{schema}raw double")
+
+
+def _probability(model: dict):
+    """The probability of a toxic text by its raw score."""
+    n0, n1 = model["n"]
+    if not (n0 and n1):
+        return F.lit(n1 / (n0 + n1) if n0 + n1 else 0.0)
+    line = F.lit(model["slope"]) * F.col("raw") + F.lit(model["base"])
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), line))))
+
+
 def scored(docs: DataFrame, model: dict, carry: list[str] | None = None) -> DataFrame:
     """``docs`` with ``score``, the probability that its text is toxic.
 
@@ -358,6 +397,6 @@ def scored(docs: DataFrame, model: dict, carry: list[str] | None = None) -> Data
     an empty table gives an empty result.  A column named ``score`` is replaced, others (or ``carry``) pass through.
     """
     names = [c for c in (docs.columns if carry is None else carry) if c != "score"]
-    base = docs.select(*dict.fromkeys([*names, "text"]))
-    schema = ", ".join(f"`{c}` {base.schema[c].dataType.simpleString()}" for c in names)
-    return base.mapInArrow(_scorer(model, names=names), f"{schema}, score double")
+    base = docs.select(*[F.col(c).alias(f"_{c}") for c in names], "text")
+    raw = _raw(base, model, [f"_{c}" for c in names])
+    return raw.select(*[F.col(f"_{c}").alias(c) for c in names], _probability(model).alias("score"))

@@ -179,6 +179,17 @@ def test_toxicity_on_held_out_rows(docs, labels):
     assert sum(p for y, _, p in held if not y) <= 0.05 * len(clean)
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """21,000 labelled rows are counted, all of them; the one-pass form gives the same scores."""
+    n = 21_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('plain text ', if(id % 7 = 0, concat('bad', translate(cast(id div 21 AS string), '0123456789', 'abcdefghij')), 'fine')) AS text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 7 = 0 AS int) AS toxic")
+    model = toxicity.fit(docs, labels)
+    assert model["n"] == (n * 6 // 7, n // 7)
+    once = {(r["doc_id"], round(r["score"], 9)) for r in toxicity.scored(docs, model, ["doc_id"]).collect()}
+    assert once == {(r["doc_id"], round(r["score"], 9)) for r in toxicity.fit_and_score(docs, labels, ["doc_id"]).collect()}
+
+
 @pytest.mark.parametrize(
     "written", ["1d10t", "!d!ot", "id1ot", "iiidiooot", "i.d.i.o.t", "i d i o t", "$tup1d", "stu*pid", "STUPID!!!", "stuuupid"]
 )
