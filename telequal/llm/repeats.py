@@ -1,7 +1,7 @@
 """Repeated passages by suffix order and longest-previous-factor arrays.
 
 A match is a string of ``length`` bytes that starts in two places, of one document or two.  Suffixes that can match
-are brought together by content: in every window of ``length`` bytes the smallest hash of a ``GRAM``-byte string is
+are brought together by content: in every window of ``length`` bytes the smallest hash of a string of ``gram_bytes`` is
 its anchor, so equal windows have equal anchors at equal distances.  The windows of one anchor form a segment.
 
 1. Anchors are counted over the corpus; those that occur once cannot match and go no further.
@@ -29,12 +29,20 @@ from telequal.session import durable
 
 LENGTH = 400
 GRAM = 32
+#: A window chooses its anchor from so many strings at most, else these are longer (128 bytes in windows of 400), so
+#: that few places share an anchor without sharing a window.
+CHOICES = 273
 #: Classes of one anchor that are sorted in one task, about 3 MB of text.
 LARGE_GROUP = 4096
 _SORT_BYTES = 1 << 20
 SEGMENT = ["anchor", "seg", "off", "n"]
 
 
+def gram_bytes(length: int) -> int:
+    """Bytes of the strings that anchors are chosen from."""
+    return max(min(GRAM, length), length - CHOICES + 1)
+
+
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every run of ``width`` values."""
     n = len(values) - width + 1
@@ -50,7 +58,7 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
 
 def anchors(block: tx.Block, length: int) -> dict[str, np.ndarray]:
     """Segments of all texts: row, first window, number of windows, the anchor's distance, and the two hashes."""
-    gram = min(GRAM, length)
+    gram = gram_bytes(length)
     size = len(block.data)
     none = {k: np.zeros(0, np.int64) for k in ("row", "at", "n", "off", "anchor", "seg")}
     if size < length:

@@ -88,6 +88,16 @@ def test_repeats(spark, monkeypatch, keep_first, large):
     assert {i: (x["n_removed"], x["n_spans"], hashlib.sha256(x["kept_bytes"]).hexdigest()) for i, x in got.items()} == want
 
 
+def test_texts_that_share_a_short_phrase_share_no_anchor():
+    """A common phrase of 100 bytes is no candidate for a passage of 400."""
+    r = random.Random(5)
+    word = lambda n: bytes(r.choices(range(97, 123), k=n))
+    phrase = word(100)
+    texts = [word(700) + phrase + word(700) for _ in range(50)]
+    found = repeats.anchors(repeats.tx.Block(None, texts, lower=False), 400)
+    assert len(set(found["anchor"])) == len(set(zip(found["row"], found["at"] + found["off"])))
+
+
 def test_repeated_passages_of_the_tables(docs, texts):
     ids = sorted(texts)
     data = [texts[i].encode() for i in ids]
