@@ -178,6 +178,17 @@ def test_language_model_estimates_by_hand(spark, monkeypatch):
         assert got[i]["score"] == pytest.approx(total, rel=1e-9)
 
 
+@pytest.mark.parametrize("words", [5, 1 << 19])
+def test_language_model_learns_its_weights_from_every_token(spark, monkeypatch, words):
+    learnt = []
+    monkeypatch.setattr(lm.Model, "learn", lambda self, cells, rounds=60: learnt.append(sum(c[3] for c in cells)))
+    monkeypatch.setattr(lm, "WORDS", words)
+    monkeypatch.setattr(lm, "OWNED", 400)
+    texts = [(i, " ".join(f"w{i * k % 61}" for k in range(1, 30))) for i in range(40)]
+    got = lm.scored(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id % 5 > 0").collect()
+    assert learnt == [32 * 30] and {r["train_tokens"] for r in got} == {32 * 30}
+
+
 def test_toxicity_on_held_out_rows(docs, labels):
     got = by_id(contract.queries()["op2_toxicity"](docs.sparkSession, "/root/testdata/sf0.01"))
     truth = {r["doc_id"]: r["toxic"] for r in docs.sparkSession.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
