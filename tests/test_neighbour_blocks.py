@@ -7,6 +7,7 @@ import os
 import numpy as np
 import pytest
 
+import __spark_entry__ as contract
 from telequal.operators import neighbours
 from telequal.session import shared_dir
 
@@ -59,3 +60,20 @@ def test_odd_rows_in_blocks(spark, monkeypatch, walk):
     none = got[got["id"].isna()]
     assert none["neighbour"].tolist() == _nearest(x[1], x, ids, 4)[0]
     assert 9_000 not in got["id"].tolist() and 9_000 not in got["neighbour"].tolist()
+
+
+@pytest.mark.parametrize("name", ["lof_score"])
+def test_outlier_queries_of_large_sets(spark, monkeypatch, tmp_path, name):
+    """As with a reference set that fits an executor, and without a row per query and leaf."""
+    x = np.random.default_rng(5).normal(size=(1_500, 64)).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist(), i % 10) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    rows.write.parquet(f"{tmp_path}/embeddings.parquet")
+    run = contract.queries()[name]
+    whole = run(spark, str(tmp_path)).toPandas().sort_values("id", ignore_index=True)
+    monkeypatch.setattr(neighbours.knn_join, "__defaults__", (False, 20_000, 20))
+    before = _written(spark)
+    cut = run(spark, str(tmp_path)).toPandas().sort_values("id", ignore_index=True)
+    assert _written(spark) - before < 15 * x.nbytes
+    score = cut.columns[1]
+    assert len(cut) == len(whole) > 0 and np.allclose(cut[score], whole[score], atol=2e-6)
+    assert cut.drop(columns=score).equals(whole.drop(columns=score))
