@@ -62,7 +62,7 @@ def test_odd_rows_in_blocks(spark, monkeypatch, walk):
     assert 9_000 not in got["id"].tolist() and 9_000 not in got["neighbour"].tolist()
 
 
-@pytest.mark.parametrize("name", ["lof_score", "lof_novelty"])
+@pytest.mark.parametrize("name", ["lof_score", "lof_novelty", "ensemble_score"])
 def test_outlier_queries_of_large_sets(spark, monkeypatch, tmp_path, name):
     """As with a reference set that fits an executor, and without a row per query and leaf."""
     x = np.random.default_rng(5).normal(size=(1_500, 64)).astype(np.float32)
